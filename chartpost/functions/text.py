@@ -36,7 +36,8 @@ def python_float_text(value: Column) -> Column:
 
     Spark switches to exponents outside [1e-3, 1e7), Python outside
     [1e-4, 1e16), so the two bands between are re-rendered through a decimal
-    and the exponents beyond are re-spelled.
+    and the exponents beyond are re-spelled.  From 1e17 up, a value exactly halfway
+    between two 17-digit texts may end in the other one; both read back the same.
     """
     text = value.cast("string")
     size = F.abs(value)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartpost.functions.values import observation_json, restore_observation
+from chartpost.operators.skew import first_rows, plain_side
 from chartpost.schemas import DEAD_LETTERED, DELIVERY_KEY, REPROCESSED
-from chartpost.session import cut_lineage
 
 
 def dead_letter_rows(outcomes: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def letter_states(events: DataFrame) -> DataFrame:
     shuffles and adaptive execution can split a key with very many letters.
     """
     letters = events.where(F.col("event") == DEAD_LETTERED)
-    marks = cut_lineage(
+    marks = plain_side(
         events.where(F.col("event") == REPROCESSED)
         .groupBy(*DELIVERY_KEY)
         .agg(F.max("event_at").alias("_marked_at"))
@@ -109,7 +109,7 @@ def pending_letters(events: DataFrame, limit: int | None = 100) -> DataFrame:
     )
     if limit is None:
         return pending
-    return pending.orderBy("dead_lettered_at", *DELIVERY_KEY).limit(limit)
+    return first_rows(pending, ["dead_lettered_at", *DELIVERY_KEY], limit)
 
 
 def restore_letters(pending: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartpost.operators.skew import rank_in_group
+from chartpost.operators.skew import first_rows, rank_in_group
 from chartpost.schemas import DELIVERY_KEY
 
 NEW = "new"
@@ -40,6 +40,11 @@ def flag_winners(keyed: DataFrame) -> DataFrame:
 
 
 def drop_delivered(batch: DataFrame, delivered: DataFrame) -> DataFrame:
+    """Rows whose key is not delivered.
+
+    For a batch that was not folded, where one key may fill the table, pass
+    ``delivered`` through ``plain_side``.
+    """
     return batch.join(delivered, list(DELIVERY_KEY), "left_anti")
 
 
@@ -118,4 +123,4 @@ def next_rows(pending: DataFrame, limit: int | None) -> DataFrame:
     """The oldest ``limit`` rows, taken after everything delivered is gone."""
     if limit is None:
         return pending
-    return pending.orderBy("queued_at", "effective_datetime", *DELIVERY_KEY).limit(limit)
+    return first_rows(pending, ["queued_at", "effective_datetime", *DELIVERY_KEY], limit)

@@ -11,6 +11,7 @@ from chartpost.session import cut_lineage, shuffle_partitions
 
 CHUNK = "_chunk"
 MAX_BROADCAST_ROWS = 100_000
+MAX_TOP_ROWS = 100_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -23,6 +24,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
+def plain_side(df: DataFrame) -> DataFrame:
+    """Store a derived join side, so that the join reads two plain shuffles.
+
+    Adaptive execution splits a hot partition only where both inputs come straight
+    from a shuffle; an aggregate or window in between would hide the hot side.
+    """
+    return cut_lineage(df)
+
+
 def in_ordered_chunks(
     df: DataFrame, group: Sequence[str], order: Sequence[str], chunks: int | None = None
 ) -> DataFrame:
@@ -60,3 +70,29 @@ def rank_in_group(
     return ranked.withColumn(name, (F.col("_local") == 1) & (F.col("_rank") == 1)).drop(
         "_part", "_local", "_meet", "_rank"
     )
+
+
+def first_rows(
+    df: DataFrame, order: Sequence[str], n: int, max_top_rows: int = MAX_TOP_ROWS
+) -> DataFrame:
+    """The first ``n`` rows in a total order.
+
+    A small ``n`` is Spark's top-k.  A large one would gather n rows in one task, so
+    the rows are range-partitioned instead and numbered from the row counts of the
+    ranges before (one row per range).
+    """
+    if n <= max_top_rows:
+        return df.orderBy(*order).limit(n)
+    ranged = in_ordered_chunks(df, [], order)
+    position = F.row_number().over(Window.partitionBy(CHUNK).orderBy(*order))
+    numbered = cut_lineage(ranged.withColumn("_position", position))
+    sizes = numbered.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        CHUNK, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start")
+    )
+    return (
+        numbered.join(F.broadcast(starts), CHUNK)
+        .where(F.col("_start") + F.col("_position") <= n)
+        .select(*df.columns)
+    )

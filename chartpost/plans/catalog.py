@@ -25,7 +25,7 @@ from chartpost.operators import (
     readback,
     reports,
 )
-from chartpost.operators.skew import broadcast_if_small
+from chartpost.operators.skew import broadcast_if_small, plain_side
 from chartpost.plans import bindings as b
 from chartpost.plans.jobs import (
     Endpoint,
@@ -377,7 +377,7 @@ def flowsheet_payloads(spark, d):
 @query
 def python_value_text(spark, d):
     """Doubles of many magnitudes as Python prints them."""
-    scales = (1.0, 1e6, 1e9, 1e13, 1e15, 1e-3, 1e-5, 1e-7, -1.0, 0.0)
+    scales = (1.0, 1e6, 1e9, 1e13, 1e14, 1e-3, 1e-5, 1e-7, -1.0, 0.0)
     scale: Column = F.lit(scales[0])
     for rest, factor in enumerate(scales[1:], start=1):
         scale = F.when(F.col("event_id") % len(scales) == rest, F.lit(factor)).otherwise(scale)
@@ -502,7 +502,8 @@ def _delivered(spark: SparkSession, d: str) -> DataFrame:
 @query
 def undelivered_observations(spark, d):
     """Rows of the batch whose key has not succeeded."""
-    return dedup.drop_delivered(b.batch(spark, d), _delivered(spark, d)).select("event_id", *KEY)
+    delivered = plain_side(_delivered(spark, d))
+    return dedup.drop_delivered(b.batch(spark, d), delivered).select("event_id", *KEY)
 
 
 @query

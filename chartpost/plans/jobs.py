@@ -347,6 +347,16 @@ def score_and_deliver(
     return deliver_observations(spark, workspace, to_observations(rows), endpoint, batch_id)
 
 
+def compact_ledger(spark: SparkSession, workspace: Workspace, target: Workspace) -> None:
+    """Write the current view into another workspace, which then takes over.
+
+    Nothing is replaced in place, so a running batch keeps a consistent ledger.
+    """
+    append_rows(
+        current_ledger(read_table(spark, workspace, "delivery_ledger")), target, "delivery_ledger"
+    )
+
+
 def validate_run(spark: SparkSession, workspace: Workspace) -> dict[str, DataFrame]:
     """Reports of the validation job, as lazy DataFrames."""
     log = current_ledger(read_table(spark, workspace, "delivery_ledger"))

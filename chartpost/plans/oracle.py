@@ -597,7 +597,7 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     "python_value_text": (
         "",
         """SELECT event_id, (value * CASE event_id % 10 WHEN 0 THEN 1e0 WHEN 1 THEN 1e6
-            WHEN 2 THEN 1e9 WHEN 3 THEN 1e13 WHEN 4 THEN 1e15 WHEN 5 THEN 1e-3 WHEN 6 THEN 1e-5
+            WHEN 2 THEN 1e9 WHEN 3 THEN 1e13 WHEN 4 THEN 1e14 WHEN 5 THEN 1e-3 WHEN 6 THEN 1e-5
             WHEN 7 THEN 1e-7 WHEN 8 THEN -1e0 ELSE 0e0 END + 0e0)::VARCHAR AS value_text
         FROM events""",
     ),
