@@ -47,7 +47,13 @@ from chartpost.policies import BATCH_RETRY, REPROCESS_RETRY, CircuitPolicy, Retr
 from chartpost.schemas import DELIVERY_KEY, OBSERVATION, SUCCESS
 from chartpost.session import prepare_session
 from chartpost.sources.routes import ROUTES, Route
-from chartpost.sources.tables import Workspace, append_rows, read_table, replace_batch
+from chartpost.sources.tables import (
+    Workspace,
+    append_rows,
+    is_complete,
+    read_table,
+    replace_batch,
+)
 
 PLAN_COLUMNS = [
     *DELIVERY_KEY,
@@ -80,13 +86,6 @@ class Endpoint:
     routes: tuple[Route, ...] = ROUTES
 
 
-def _is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether an earlier run finished writing ``path``."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    files = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.exists(marker)
-
-
 def _check(spark: SparkSession, batch_id: str) -> None:
     prepare_session(spark)
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
@@ -154,7 +153,7 @@ def _run_plan(
     to_send = next_rows(plan.where(F.col("outcome").isin(NEW, GATED)), limit)
 
     log_path = f"{workspace.path('attempt_log')}/batch_id={batch_id}"
-    if not _is_complete(spark, log_path):
+    if not is_complete(spark, log_path):
         requests = with_request(
             to_send.where(F.col("outcome") == NEW), endpoint.base_url, endpoint.routes
         )
@@ -170,7 +169,7 @@ def _run_plan(
         replace_batch(attempts, workspace, "attempt_log", batch_id)
 
     outcome_path = workspace.path(f"plans/{batch_id}/outcomes")
-    if not _is_complete(spark, outcome_path):
+    if not is_complete(spark, outcome_path):
         attempts = read_table(spark, workspace, "attempt_log").where(
             F.col("batch_id") == batch_id
         )
@@ -240,7 +239,7 @@ def deliver_observations(
     if not done.isEmpty():
         return done
     plan_path = workspace.path(f"plans/{batch_id}/classified")
-    if not _is_complete(spark, plan_path):
+    if not is_complete(spark, plan_path):
         keyed = _addressed(observations, endpoint)
         ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), keyed).where(
             (F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api)
@@ -270,7 +269,7 @@ def run_delivery_batch(
         ready = ready.where(F.col("queued_date") >= F.lit(queued_since).cast("date"))
     ready = ready.drop("queued_date")
     rules = delivery_rules(ready.columns)
-    if not _is_complete(spark, f"{workspace.path('quarantine')}/batch_id={batch_id}"):
+    if not is_complete(spark, f"{workspace.path('quarantine')}/batch_id={batch_id}"):
         replace_batch(keep_invalid(ready, rules), workspace, "quarantine", batch_id)
     observations = to_observations(keep_valid(ready, rules))
     return deliver_observations(spark, workspace, observations, endpoint, batch_id, limit)
@@ -293,7 +292,7 @@ def reprocess_dead_letters(
         return done
     letters = read_table(spark, workspace, "dead_letters")
     plan_path = workspace.path(f"plans/{batch_id}/classified")
-    if not _is_complete(spark, plan_path):
+    if not is_complete(spark, plan_path):
         mine = letters.where(
             (F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api)
         )

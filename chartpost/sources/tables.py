@@ -20,13 +20,26 @@ class Workspace:
         return f"{self.root.rstrip('/')}/{table}"
 
 
+def _folder(spark: SparkSession, path: str):
+    """Hadoop path and the file system it is on, as the session configures it."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether an earlier run finished writing ``path``."""
+    marker, files = _folder(spark, f"{path}/_SUCCESS")
+    return files.exists(marker)
+
+
 def ensure_tables(spark: SparkSession, workspace: Workspace, database: str | None = None) -> None:
-    """Create missing tables; with ``database``, also register them in the catalog."""
-    for table, (schema, partitions) in TABLES.items():
-        # "ignore" writes nothing when the table is already there.
-        spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partitions).parquet(
-            workspace.path(table)
-        )
+    """Create missing tables; with ``database``, also register them in the catalog.
+
+    A table is a folder read with its declared schema, so an empty one needs no file.
+    """
+    for table in TABLES:
+        folder, files = _folder(spark, workspace.path(table))
+        files.mkdirs(folder)
     if database is None:
         return
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
