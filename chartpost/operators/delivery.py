@@ -11,6 +11,7 @@ from datetime import datetime, timezone
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from chartpost.operators.outcomes import CIRCUIT_OPEN
 from chartpost.policies import CircuitPolicy, RetryPolicy
@@ -21,7 +22,7 @@ from chartpost.session import ship_package
 Send = Callable[[str, dict[str, str], str], tuple[int, str]]
 OpenTransport = Callable[[], Send]
 
-ATTEMPT_COLUMNS = [f for f in ATTEMPT_LOG.fields if f.name != "batch_id"]
+ATTEMPT_COLUMNS = [f for f in ATTEMPT_LOG.fields if f.name not in ("batch_id", "wave")]
 ATTEMPT_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ATTEMPT_COLUMNS)
 _ARROW_TYPES = {
     "string": pa.string(),
@@ -172,6 +173,19 @@ def deliver(
     return requests.select(*REQUEST_COLUMNS).mapInArrow(send_partition, ATTEMPT_DDL)
 
 
+def split_waves(rows: DataFrame, count: int, rows_per_wave: int) -> DataFrame:
+    """Number the rows in ``wave``, oldest first, in ranges of about equal size.
+
+    A wave is sent and logged as a whole.  Few requests may be in flight at once, so
+    without waves a large batch would be a few endless tasks, and losing one of them
+    would repeat everything it had sent.
+    """
+    waves = max(1, -(-count // rows_per_wave))
+    return rows.repartitionByRange(
+        waves, "queued_at", "effective_datetime", "idempotency_key"
+    ).withColumn("wave", F.spark_partition_id())
+
+
 def spread_requests(requests: DataFrame, max_concurrency: int) -> DataFrame:
     """As many partitions as requests may be in flight, filled evenly by key hash.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartpost.operators.skew import CHUNK, in_ordered_chunks
+from chartpost.operators.skew import CHUNK, MAX_BROADCAST_ROWS, in_ordered_chunks
 from chartpost.schemas import DELIVERY_KEY, LEDGER, SUCCESS
 from chartpost.session import cut_lineage
 
@@ -36,14 +36,15 @@ def success_keys(events: DataFrame) -> DataFrame:
 
 
 def delivered_keys(events: DataFrame, batch_keys: DataFrame) -> DataFrame:
-    """Success keys among the keys of one batch.
+    """Success keys of a small batch: its keys are broadcast to the ledger scan.
 
-    The ledger is cut to the batch keys first; the semi join, the current view and
-    the caller's join all cluster by the same columns.
+    Beyond the bound the success keys of all given events are returned; the caller's
+    join then does the matching.
     """
-    keys = batch_keys.select(*DELIVERY_KEY).distinct()
-    thin = events.select(*DELIVERY_KEY, "status", "attempted_at", "seq")
-    return success_keys(thin.join(keys, list(DELIVERY_KEY), "left_semi"))
+    keys = cut_lineage(batch_keys.select(*DELIVERY_KEY).distinct())
+    if keys.count() > MAX_BROADCAST_ROWS:
+        return success_keys(events)
+    return success_keys(events.join(F.broadcast(keys), list(DELIVERY_KEY), "left_semi"))
 
 
 def prune_dates(events: DataFrame, batch: DataFrame) -> DataFrame:

@@ -46,7 +46,9 @@ def reconcile(sent: DataFrame, stored: DataFrame) -> DataFrame:
     """Sent against stored by resource id, with the fields that differ.
 
     Rows without an id match nothing; they skip the join instead of all meeting in
-    the one partition nulls hash to.
+    the one partition nulls hash to.  The full outer join is written as a left join
+    and an anti join against the folded ids, because adaptive execution can split a
+    repeated id in those two only.
     """
     id_name = "ehr_resource_id"
 
@@ -55,9 +57,13 @@ def reconcile(sent: DataFrame, stored: DataFrame) -> DataFrame:
 
     left, right = side(sent, "sent"), side(stored, "stored")
     has_id = F.col(id_name).isNotNull()
-    joined = left.where(has_id).join(right.where(has_id), id_name, "full_outer")
-    rows = joined.unionByName(left.where(~has_id), allowMissingColumns=True).unionByName(
-        right.where(~has_id), allowMissingColumns=True
+    known = right.where(has_id)
+    joined = left.where(has_id).join(known, id_name, "left")
+    sent_ids = left.where(has_id).select(id_name).distinct()
+    rows = (
+        joined.unionByName(left.where(~has_id), allowMissingColumns=True)
+        .unionByName(known.join(sent_ids, id_name, "left_anti"), allowMissingColumns=True)
+        .unionByName(right.where(~has_id), allowMissingColumns=True)
     )
     differing = F.array_compact(
         F.array(

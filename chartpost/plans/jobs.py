@@ -9,8 +9,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from chartpost.operators.circuit import advance_circuit, latest_counts, with_state
+from chartpost.operators.circuit import (
+    advance_circuit,
+    circuit_tail,
+    latest_counts,
+    with_state,
+)
 from chartpost.operators.cohort import score_cohort, score_observations
 from chartpost.operators.dead_letters import (
     dead_letter_rows,
@@ -19,7 +25,7 @@ from chartpost.operators.dead_letters import (
     restore_letters,
 )
 from chartpost.operators.dedup import DELIVERED, GATED, NEW, classify, fold_batch, gate, next_rows
-from chartpost.operators.delivery import OpenTransport, deliver, spread_requests
+from chartpost.operators.delivery import OpenTransport, deliver, split_waves, spread_requests
 from chartpost.operators.expectations import delivery_rules, keep_invalid, keep_valid
 from chartpost.operators.ledger import (
     current_ledger,
@@ -50,6 +56,7 @@ from chartpost.sources.routes import ROUTES, Route
 from chartpost.sources.tables import (
     Workspace,
     append_rows,
+    batch_path,
     is_complete,
     read_table,
     replace_batch,
@@ -80,6 +87,7 @@ class Endpoint:
     open_transport: OpenTransport
     token_provider: Callable[[], str] = lambda: ""
     max_concurrency: int = 5
+    max_rows_per_wave: int = 500_000
     retry: RetryPolicy = BATCH_RETRY
     circuit: CircuitPolicy | None = field(default_factory=CircuitPolicy)
     sleep: Callable[[float], None] = time.sleep
@@ -136,6 +144,58 @@ def _write_plan(
     ).write.mode("overwrite").parquet(path)
 
 
+def _send(
+    spark: SparkSession, workspace: Workspace, endpoint: Endpoint, batch_id: str, rows: DataFrame
+) -> None:
+    """Send wave by wave; a wave that is in the log is not sent again.
+
+    The circuit is known again before each wave: the counts the plan started with,
+    moved on by the attempts of every finished wave.
+    """
+    waves_path = workspace.path(f"plans/{batch_id}/waves")
+    if not is_complete(spark, waves_path):
+        split_waves(rows, rows.count(), endpoint.max_rows_per_wave).write.mode(
+            "overwrite"
+        ).partitionBy("wave").parquet(waves_path)
+    schema = T.StructType([*rows.schema.fields, T.StructField("wave", T.IntegerType())])
+    planned = spark.read.schema(schema).parquet(waves_path)
+    last = planned.agg(F.max("wave")).first()[0]
+    if last is None:
+        return
+    start = planned.select("circuit_failures", "circuit_last_failure_at").first()
+    failures, last_failure_at = start.circuit_failures, start.circuit_last_failure_at
+    for wave in range(last + 1):
+        log = batch_path(workspace, "attempt_log", batch_id=batch_id, wave=wave)
+        if not is_complete(spark, log):
+            due = planned.where(F.col("wave") == wave).withColumns(
+                {
+                    "circuit_failures": F.lit(failures).cast("bigint"),
+                    "circuit_last_failure_at": F.lit(last_failure_at).cast("timestamp"),
+                }
+            )
+            requests = with_request(due, endpoint.base_url, endpoint.routes)
+            attempts = deliver(
+                spread_requests(requests, endpoint.max_concurrency),
+                endpoint.open_transport,
+                retry=endpoint.retry,
+                circuit=endpoint.circuit,
+                token=endpoint.token_provider(),
+                sleep=endpoint.sleep,
+            )
+            # The only action that sends.
+            replace_batch(attempts, workspace, "attempt_log", batch_id=batch_id, wave=wave)
+        if endpoint.circuit is not None and wave < last:
+            # One endpoint, so one row.
+            done = circuit_tail(
+                read_table(spark, workspace, "attempt_log").where(
+                    (F.col("batch_id") == batch_id) & (F.col("wave") == wave)
+                )
+            ).first()
+            if done is not None:
+                failures = done.failures + (0 if done.has_success else failures)
+                last_failure_at = done.last_failure_at or last_failure_at
+
+
 def _run_plan(
     spark: SparkSession,
     workspace: Workspace,
@@ -151,22 +211,7 @@ def _run_plan(
     """
     plan = spark.read.parquet(plan_path)
     to_send = next_rows(plan.where(F.col("outcome").isin(NEW, GATED)), limit)
-
-    log_path = f"{workspace.path('attempt_log')}/batch_id={batch_id}"
-    if not is_complete(spark, log_path):
-        requests = with_request(
-            to_send.where(F.col("outcome") == NEW), endpoint.base_url, endpoint.routes
-        )
-        attempts = deliver(
-            spread_requests(requests, endpoint.max_concurrency),
-            endpoint.open_transport,
-            retry=endpoint.retry,
-            circuit=endpoint.circuit,
-            token=endpoint.token_provider(),
-            sleep=endpoint.sleep,
-        )
-        # The only action that sends.
-        replace_batch(attempts, workspace, "attempt_log", batch_id)
+    _send(spark, workspace, endpoint, batch_id, to_send.where(F.col("outcome") == NEW))
 
     outcome_path = workspace.path(f"plans/{batch_id}/outcomes")
     if not is_complete(spark, outcome_path):
@@ -269,8 +314,8 @@ def run_delivery_batch(
         ready = ready.where(F.col("queued_date") >= F.lit(queued_since).cast("date"))
     ready = ready.drop("queued_date")
     rules = delivery_rules(ready.columns)
-    if not is_complete(spark, f"{workspace.path('quarantine')}/batch_id={batch_id}"):
-        replace_batch(keep_invalid(ready, rules), workspace, "quarantine", batch_id)
+    if not is_complete(spark, batch_path(workspace, "quarantine", batch_id=batch_id)):
+        replace_batch(keep_invalid(ready, rules), workspace, "quarantine", batch_id=batch_id)
     observations = to_observations(keep_valid(ready, rules))
     return deliver_observations(spark, workspace, observations, endpoint, batch_id, limit)
 

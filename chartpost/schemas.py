@@ -57,7 +57,7 @@ OBSERVATION = _schema(
 ATTEMPT_LOG = _schema(
     """idempotency_key STRING, ehr_system STRING, api STRING, endpoint STRING, attempt INT,
     seq BIGINT, attempted_at TIMESTAMP, http_status INT, body STRING, transport_error STRING,
-    ok BOOLEAN, gated BOOLEAN, effective_date DATE, batch_id STRING"""
+    ok BOOLEAN, gated BOOLEAN, effective_date DATE, batch_id STRING, wave INT"""
 )
 
 LEDGER = _schema(
@@ -98,7 +98,7 @@ QUARANTINE = _schema(
 TABLES = {
     "observations_queue": (QUEUE, ()),
     "observations_ready": (READY, ("queued_date",)),
-    "attempt_log": (ATTEMPT_LOG, ("batch_id",)),
+    "attempt_log": (ATTEMPT_LOG, ("batch_id", "wave")),
     "delivery_ledger": (LEDGER, ("effective_date",)),
     "dead_letters": (DEAD_LETTER_EVENTS, ("event_date",)),
     "delivery_batches": (BATCHES, ()),

@@ -66,12 +66,17 @@ def append_rows(df: DataFrame, workspace: Workspace, table: str) -> None:
     rows.write.mode("append").partitionBy(*partitions).parquet(workspace.path(table))
 
 
-def replace_batch(df: DataFrame, workspace: Workspace, table: str, batch_id: str) -> None:
-    """Write one batch partition as a whole, so that a repeated run leaves it once."""
-    names = [f for f in TABLES[table][0].fields if f.name != "batch_id"]
+def batch_path(workspace: Workspace, table: str, **partition: object) -> str:
+    """Folder of one partition, e.g. ``attempt_log/batch_id=b1/wave=0``."""
+    return "/".join([workspace.path(table), *(f"{k}={v}" for k, v in partition.items())])
+
+
+def replace_batch(df: DataFrame, workspace: Workspace, table: str, **partition: object) -> None:
+    """Write one partition as a whole, so that a repeated run leaves it once."""
+    names = [f for f in TABLES[table][0].fields if f.name not in partition]
     df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in names]).write.mode(
         "overwrite"
-    ).parquet(f"{workspace.path(table)}/batch_id={batch_id}")
+    ).parquet(batch_path(workspace, table, **partition))
 
 
 def demo_rows(index: DataFrame, column: str = "index") -> DataFrame:

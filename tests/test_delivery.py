@@ -2,6 +2,7 @@
 
 import json
 import os
+import shutil
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -236,14 +237,54 @@ def test_restart_after_sending(spark, workspace, calls):
     run_delivery_batch(spark, workspace, endpoint(calls), "b1")
     other = Workspace(workspace.root + "-restarted")
     ensure_tables(spark, other)
-    for part in ("plans/b1/classified", "attempt_log/batch_id=b1"):
-        spark.read.parquet(workspace.path(part)).write.mode("overwrite").parquet(other.path(part))
+    for part in ("plans/b1/classified", "plans/b1/waves", "attempt_log/batch_id=b1/wave=0"):
+        shutil.copytree(workspace.path(part), other.path(part))
     ready(spark, other, ["P1", "P2"])
     row = run_delivery_batch(spark, other, endpoint(calls), "b1").first()
     assert row.succeeded == 2 and len(sent(calls)) == 2
     assert ledger(spark, other).count() == 2
 
 
+def test_waves(spark, workspace, calls):
+    """Each wave sends a part, oldest first; a lost log is the only wave sent again."""
+    ready(spark, workspace, [f"P{n}" for n in range(10)])
+    small = endpoint(calls, max_rows_per_wave=3, max_concurrency=1)
+    assert run_delivery_batch(spark, workspace, small, "b1").first().succeeded == 10
+    order = [c.split()[0] for c in sent(calls)]
+    assert sorted(order) == [f"P{n}" for n in range(10)] and order[0] == "P0"
+    attempts = read_table(spark, workspace, "attempt_log")
+    sizes = [r["count"] for r in attempts.groupBy("wave").count().collect()]
+    assert len(sizes) > 1 and sum(sizes) == 10
+
+    lost = attempts.where("wave = 1").count()
+    other = Workspace(workspace.root + "-lost-wave")
+    ensure_tables(spark, other)
+    for part in ("plans/b1/classified", "plans/b1/waves"):
+        shutil.copytree(workspace.path(part), other.path(part))
+    for wave in range(len(sizes)):
+        part = f"attempt_log/batch_id=b1/wave={wave}"
+        if wave != 1:
+            shutil.copytree(workspace.path(part), other.path(part))
+    ready(spark, other, [f"P{n}" for n in range(10)])
+    assert run_delivery_batch(spark, other, small, "b1").first().succeeded == 10
+    assert len(sent(calls)) == 10 + lost
+
+
+def test_circuit_opened_by_one_wave_holds_back_the_next(spark, workspace, calls):
+    ready(spark, workspace, [f"P{n}" for n in range(8)])
+    failing = endpoint(
+        calls,
+        always_fail=True,
+        retry=RetryPolicy(max_retries=0),
+        circuit=CircuitPolicy(failure_threshold=2),
+        max_rows_per_wave=2,
+        max_concurrency=1,
+    )
+    assert run_delivery_batch(spark, workspace, failing, "b1").first().dead_lettered == 8
+    errors = [r.error_message for r in ledger(spark, workspace).collect()]
+    assert errors.count(CIRCUIT_OPEN) == 8 - len(sent(calls)) >= 5
+
+
 def test_reprocess(spark, workspace, calls):
     ready(spark, workspace, ["P1", "P2"])
     open_wide = {"circuit": None}

@@ -181,6 +181,21 @@ def test_dates_beyond_the_bound_read_the_whole_ledger(spark, monkeypatch):
     assert ledger.prune_dates(events, events.where("seq = 1")).count() == 2
 
 
+def test_delivered_keys_within_and_beyond_the_bound(spark, monkeypatch):
+    rows = [("a", START, 1, "success"), ("b", START, 2, "success"), ("c", START, 3, "success")]
+    rows.append(("b", START + timedelta(seconds=1), 4, "dead_lettered"))
+    events = ledger_frame(spark, rows)
+    batch = events.where("idempotency_key <> 'c'")
+
+    def found():
+        kept = ledger.delivered_keys(events, batch).join(batch, "idempotency_key", "left_semi")
+        return {r.idempotency_key for r in kept.collect()}
+
+    assert found() == {"a"}
+    monkeypatch.setattr(ledger, "MAX_BROADCAST_ROWS", 0)
+    assert found() == {"a"}
+
+
 def test_pending_letters_and_flags(spark):
     def event(kind, key, second):
         at = START + timedelta(seconds=second)
