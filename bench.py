@@ -53,6 +53,8 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # No call-site capture per expression; it only serves error messages.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="chartpost-bench-"))
         .getOrCreate()
     )

@@ -8,15 +8,13 @@ repeats follow integer rules on ``event_id``, so that SQL can state them too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartpost.functions.keys import idempotency_key
-from chartpost.functions.retry import plus_seconds
 from chartpost.functions.values import observation_json
 from chartpost.operators.expectations import delivery_rules, keep_valid
 from chartpost.operators.normalize import to_observations, with_key
-from chartpost.policies import RetryPolicy
 from chartpost.schemas import DEAD_LETTERED, LOINC, REPROCESSED, SUCCESS
 
 
@@ -27,70 +25,48 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("timestamp") for name in local})
 
 
-def _every(n: int, rest: int = 0) -> Column:
-    return F.col("event_id") % n == rest
-
-
 def obs_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue rows: one per event, effective on the event's day (so keys repeat)."""
-    e = F.col("event_id")
-    text = F.concat
-    return load(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events").selectExpr(
         "event_id",
         "user_id",
-        F.when(~_every(97), text(F.lit("P"), F.col("user_id"))).alias("patient_id"),
-        F.when(_every(3), F.lit(None))
-        .when(_every(7), F.lit(""))
-        .otherwise(text(F.lit("E"), e % 1000))
-        .alias("encounter_id"),
-        F.when(~_every(89), F.col("event_type")).alias("observation_code"),
-        F.when(_every(5), F.lit(None))
-        .when(_every(5, 1), F.lit(""))
-        .otherwise(F.lit(LOINC))
-        .alias("code_system"),
-        F.when(_every(4), F.lit(None))
-        .when(_every(4, 1), F.lit(""))
-        .otherwise(F.upper("event_type"))
-        .alias("display_name"),
-        F.when(~_every(101) & ~_every(13, 2), F.col("value")).alias("value"),
-        F.when(_every(13, 2), text(F.lit("grade-"), e % 4)).alias("value_str"),
-        F.when(_every(11, 1), _every(2)).alias("value_bool"),
-        F.when(_every(6), F.lit(None))
-        .when(_every(6, 1), F.lit(""))
-        .when(_every(6, 2), F.lit("%"))
-        .otherwise(F.lit("mmHg"))
-        .alias("unit"),
-        F.date_trunc("day", "ts").alias("effective_datetime"),
-        F.when(_every(8), F.lit(None))
-        .when(_every(8, 1), F.lit(""))
-        .otherwise(text(F.lit("feed-"), e % 3))
-        .alias("source_system"),
-        F.when(_every(10), text(F.lit('{"flowsheet_template_id":"T-'), e % 7, F.lit('"}')))
-        .otherwise(F.col("props"))
-        .alias("metadata_json"),
-        F.col("ts").alias("queued_at"),
+        "CASE WHEN event_id % 97 <> 0 THEN concat('P', user_id) END AS patient_id",
+        "CASE WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 7 = 0 THEN '' "
+        "ELSE concat('E', event_id % 1000) END AS encounter_id",
+        "CASE WHEN event_id % 89 <> 0 THEN event_type END AS observation_code",
+        "CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' "
+        f"ELSE '{LOINC}' END AS code_system",
+        "CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN '' "
+        "ELSE upper(event_type) END AS display_name",
+        "CASE WHEN event_id % 101 <> 0 AND event_id % 13 <> 2 THEN value END AS value",
+        "CASE WHEN event_id % 13 = 2 THEN concat('grade-', event_id % 4) END AS value_str",
+        "CASE WHEN event_id % 11 = 1 THEN event_id % 2 = 0 END AS value_bool",
+        "CASE event_id % 6 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '%' "
+        "ELSE 'mmHg' END AS unit",
+        "date_trunc('day', ts) AS effective_datetime",
+        "CASE event_id % 8 WHEN 0 THEN NULL WHEN 1 THEN '' "
+        "ELSE concat('feed-', event_id % 3) END AS source_system",
+        "CASE WHEN event_id % 10 = 0 "
+        """THEN concat('{"flowsheet_template_id":"T-', event_id % 7, '"}') """
+        "ELSE props END AS metadata_json",
+        "ts AS queued_at",
     )
 
 
-def with_route_by_user(df: DataFrame) -> DataFrame:
-    """Each user belongs to one of the four routes and one of forty sites."""
-    r = F.col("user_id") % 4
-    return df.withColumns(
-        {
-            "ehr_system": F.when(r == 0, F.lit("generic_fhir"))
-            .when(r == 2, F.lit("cerner"))
-            .otherwise(F.lit("epic")),
-            "api": F.when(r == 3, F.lit("flowsheet")).otherwise(F.lit("fhir")),
-            "endpoint": F.concat(F.lit("site-"), F.col("user_id") % 40),
-        }
-    )
+# Each user belongs to one of the four routes and one of forty sites.
+ROUTED = (
+    "CASE user_id % 4 WHEN 0 THEN 'generic_fhir' WHEN 2 THEN 'cerner' ELSE 'epic' END "
+    "AS ehr_system",
+    "CASE user_id % 4 WHEN 3 THEN 'flowsheet' ELSE 'fhir' END AS api",
+    "concat('site-', user_id % 40) AS endpoint",
+)
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deliverable rows, normalised and keyed."""
     queue = obs_queue(spark, sf_dir)
     valid = keep_valid(queue, delivery_rules(queue.columns))
-    return with_key(to_observations(with_route_by_user(valid)))
+    return with_key(to_observations(valid.selectExpr("*", *ROUTED)))
 
 
 def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,85 +76,60 @@ def batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attempts 0..3 per event up to the first success, one key per exact instant."""
-    e = F.col("event_id")
-    never = _every(11)
-
-    def succeeds(attempt: int) -> Column:
-        return ~never & ((e * 31 + attempt * 17) % 10 < 6)
-
-    elapsed, rows, earlier = 0.0, [], F.lit(False)
-    for attempt, delay in enumerate([0.0, *RetryPolicy().delays()]):
-        elapsed += delay
-        rows.append(
-            F.when(
-                ~earlier,
-                F.struct(
-                    F.lit(attempt).alias("attempt"),
-                    F.lit(elapsed).alias("elapsed"),
-                    succeeds(attempt).alias("ok"),
-                ),
-            )
-        )
-        earlier = earlier | succeeds(attempt)
+    # Seconds since the first attempt; an attempt is made while all earlier ones failed.
+    steps = "posexplode(array(0, 1, 3, 7)) AS (attempt, elapsed)"
+    ok = "(event_id % 11 <> 0 AND (event_id * 31 + {} * 17) % 10 < 6)"
+    earlier = " OR ".join(f"(attempt > {n} AND {ok.format(n)})" for n in range(3))
     events = load(spark, sf_dir, "events").withColumn(
         "idempotency_key",
         idempotency_key(F.concat(F.lit("P"), F.col("user_id")), F.col("event_type"), F.col("ts")),
     )
-    sent = with_route_by_user(events).select(
-        "event_id",
-        "ts",
-        "idempotency_key",
-        "ehr_system",
-        "api",
-        "endpoint",
-        F.inline(F.array_compact(F.array(*rows))),
-    )
-    kind = (e + F.col("attempt")) % 5
-    failed_status = (
-        F.when(kind == 0, 400).when(kind == 1, 429).when(kind == 2, 500).when(kind == 3, 503)
-    )
-    return sent.select(
-        "event_id",
-        "idempotency_key",
-        "ehr_system",
-        "api",
-        "endpoint",
-        "attempt",
-        (e * 4 + F.col("attempt")).alias("seq"),
-        plus_seconds(F.col("ts"), F.col("elapsed")).alias("attempted_at"),
-        F.when(F.col("ok"), F.when(_every(2), 201).otherwise(200))
-        .otherwise(failed_status)
-        .alias("http_status"),
-        F.when(F.col("ok"), F.concat(F.lit('{"id":"r-'), e, F.lit('"}')))
-        .when(kind != 4, F.concat(F.lit("refused "), e % 7))
-        .alias("body"),
-        F.when(~F.col("ok") & (kind == 4), F.lit("timed out")).alias("transport_error"),
-        "ok",
-        F.lit(False).alias("gated"),
-        F.to_date("ts").alias("effective_date"),
+    return (
+        events.selectExpr("event_id", "ts", "idempotency_key", *ROUTED, steps)
+        .where(f"NOT ({earlier})")
+        .selectExpr("*", f"{ok.format('attempt')} AS ok", "(event_id + attempt) % 5 AS kind")
+        .selectExpr(
+            "event_id",
+            "idempotency_key",
+            "ehr_system",
+            "api",
+            "endpoint",
+            "attempt",
+            "event_id * 4 + attempt AS seq",
+            "timestampadd(SECOND, elapsed, ts) AS attempted_at",
+            "CASE WHEN ok THEN IF(event_id % 2 = 0, 201, 200) ELSE "
+            "CASE kind WHEN 0 THEN 400 WHEN 1 THEN 429 WHEN 2 THEN 500 WHEN 3 THEN 503 END "
+            "END AS http_status",
+            """CASE WHEN ok THEN concat('{"id":"r-', event_id, '"}') """
+            "WHEN kind <> 4 THEN concat('refused ', event_id % 7) END AS body",
+            "CASE WHEN NOT ok AND kind = 4 THEN 'timed out' END AS transport_error",
+            "ok",
+            "false AS gated",
+            "to_date(ts) AS effective_date",
+        )
     )
 
 
 def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ledger history: of every four events one succeeded and one was dead-lettered."""
-    e = F.col("event_id")
-    won = _every(4)
+    won = "event_id % 4 = 0"
     return (
         observations(spark, sf_dir)
-        .where(e % 4 < 2)
-        .select(
+        .where("event_id % 4 < 2")
+        .selectExpr(
             "idempotency_key",
             "patient_id",
-            F.col("code").alias("observation_code"),
+            "code AS observation_code",
             "ehr_system",
             "api",
-            F.when(won, F.concat(F.lit("r-"), e)).alias("ehr_resource_id"),
-            F.when(won, F.lit(SUCCESS)).otherwise(F.lit(DEAD_LETTERED)).alias("status"),
-            F.col("queued_at").alias("attempted_at"),
-            F.when(~won, F.concat(F.lit("HTTP 503: refused "), e % 7)).alias("error_message"),
-            F.when(won, e % 3).otherwise(F.lit(3)).cast("int").alias("retry_count"),
-            e.alias("seq"),
-            F.lit("seed").alias("batch_id"),
+            f"CASE WHEN {won} THEN concat('r-', event_id) END AS ehr_resource_id",
+            f"CASE WHEN {won} THEN '{SUCCESS}' ELSE '{DEAD_LETTERED}' END AS status",
+            "queued_at AS attempted_at",
+            f"CASE WHEN NOT {won} THEN concat('HTTP 503: refused ', event_id % 7) END "
+            "AS error_message",
+            f"CAST(CASE WHEN {won} THEN event_id % 3 ELSE 3 END AS INT) AS retry_count",
+            "event_id AS seq",
+            "'seed' AS batch_id",
             "effective_date",
         )
     )
@@ -186,44 +137,31 @@ def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dead_letter_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Letters (some with broken JSON) and, for every third of them, a later mark."""
-    e = F.col("event_id")
-    letters = observations(spark, sf_dir).where(_every(4, 1))
-    rows = letters.select(
-        "event_id",
-        F.array(F.lit(DEAD_LETTERED), F.when(_every(12, 5), F.lit(REPROCESSED))).alias("events"),
-        "idempotency_key",
-        "patient_id",
-        F.col("code").alias("observation_code"),
-        "ehr_system",
-        "api",
-        F.when(_every(52, 1), F.lit("{broken")).otherwise(observation_json()).alias(
-            "observation_json"
-        ),
-        F.concat(F.lit("HTTP 503: refused "), e % 7).alias("last_error"),
-        F.lit(3).alias("retry_count"),
-        F.lit(4).alias("attempts_made"),
-        "queued_at",
-        e.alias("seq"),
+    letters = observations(spark, sf_dir).where("event_id % 4 = 1")
+    kinds = (
+        f"IF(event_id % 12 = 5, array('{DEAD_LETTERED}', '{REPROCESSED}'), "
+        f"array('{DEAD_LETTERED}'))"
     )
-    exploded = rows.withColumn("event", F.explode(F.array_compact("events")))
-    mark = F.col("event") == REPROCESSED
-    return exploded.select(
-        "event",
-        "idempotency_key",
-        "patient_id",
-        "observation_code",
-        "ehr_system",
-        "api",
-        "observation_json",
-        "last_error",
-        "retry_count",
-        "attempts_made",
-        F.when(mark, plus_seconds(F.col("queued_at"), F.lit(3600.0)))
-        .otherwise(F.col("queued_at"))
-        .alias("event_at"),
-        "seq",
-        F.lit("seed").alias("batch_id"),
-        F.to_date("queued_at").alias("event_date"),
+    return (
+        letters.withColumn("observation_json", observation_json())
+        .selectExpr("*", f"explode({kinds}) AS event")
+        .selectExpr(
+            "event",
+            "idempotency_key",
+            "patient_id",
+            "code AS observation_code",
+            "ehr_system",
+            "api",
+            "IF(event_id % 52 = 1, '{broken', observation_json) AS observation_json",
+            "concat('HTTP 503: refused ', event_id % 7) AS last_error",
+            "3 AS retry_count",
+            "4 AS attempts_made",
+            f"IF(event = '{REPROCESSED}', timestampadd(HOUR, 1, queued_at), queued_at) "
+            "AS event_at",
+            "event_id AS seq",
+            "'seed' AS batch_id",
+            "to_date(queued_at) AS event_date",
+        )
     )
 
 
@@ -254,31 +192,27 @@ def patient_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One set of vitals and labs per event."""
-    e = F.col("event_id")
-
-    def tenths(value: Column) -> Column:
-        return value.cast("double") / F.lit(10.0)
 
-    def integer(value: Column) -> Column:
-        return value.cast("int")
+    def tenths(rule: str, name: str) -> str:
+        return f"CAST({rule} AS DOUBLE) / 10e0 AS {name}"
 
-    def div(column: str, by: int) -> Column:
-        return F.expr(f"{column} div {by}")
+    def integer(rule: str, name: str) -> str:
+        return f"CAST({rule} AS INT) AS {name}"
 
-    return load(spark, sf_dir, "events").select(
+    return load(spark, sf_dir, "events").selectExpr(
         "event_id",
-        F.concat(F.lit("C"), F.col("user_id")).alias("patient_id"),
-        F.concat(F.lit("Patient "), F.col("user_id")).alias("name"),
-        integer(20 + e % 70).alias("age"),
-        tenths(350 + e * 7 % 60).alias("temperature_c"),
-        integer(60 + e * 13 % 80).alias("heart_rate"),
-        integer(14 + e * 3 % 20).alias("respiratory_rate"),
-        integer(80 + e * 11 % 60).alias("systolic_bp"),
-        integer(50 + e % 40).alias("diastolic_bp"),
-        tenths(880 + e % 120).alias("spo2"),
-        tenths(30 + div("event_id", 7) * 11 % 120).alias("wbc_count"),
-        tenths(5 + div("event_id", 3) * 13 % 60).alias("lactate"),
-        tenths(5 + e % 30).alias("creatinine"),
-        integer(100 + e % 300).alias("platelet_count"),
-        F.col("ts").alias("measured_at"),
+        "concat('C', user_id) AS patient_id",
+        "concat('Patient ', user_id) AS name",
+        integer("20 + event_id % 70", "age"),
+        tenths("350 + event_id * 7 % 60", "temperature_c"),
+        integer("60 + event_id * 13 % 80", "heart_rate"),
+        integer("14 + event_id * 3 % 20", "respiratory_rate"),
+        integer("80 + event_id * 11 % 60", "systolic_bp"),
+        integer("50 + event_id % 40", "diastolic_bp"),
+        tenths("880 + event_id % 120", "spo2"),
+        tenths("30 + (event_id div 7) * 11 % 120", "wbc_count"),
+        tenths("5 + (event_id div 3) * 13 % 60", "lactate"),
+        tenths("5 + event_id % 30", "creatinine"),
+        integer("100 + event_id % 300", "platelet_count"),
+        "ts AS measured_at",
     )
