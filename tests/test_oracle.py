@@ -4,10 +4,10 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from chartpost.plans.catalog import QUERIES
+from chartpost.plans.oracle import ORACLE
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,6 +19,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_registers_every_query():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(QUERIES[name](spark, SF), con, ORACLE[name]) is None
