@@ -93,10 +93,10 @@ def weights(sources: DataFrame, exponent: float, budget: float | None) -> DataFr
     z, least = powered.agg(F.sum("power"), F.min(F.pow(share, F.lit(exponent - 1)))).first()
     tokens = float(total or 0) * (budget if budget is not None else (z or 1.0) / (least or 1.0))
     weight = F.col("power") / F.lit(z or 1.0)
-    # A whole draw is not lost to the last bit of a product.
-    draws = weight * F.lit(tokens) / F.col("n_tokens") + F.lit(1e-9)
-    passes = F.floor(draws).cast("long")
-    rest = F.floor((draws - passes) * F.col("n_tokens")).cast("long")
+    draws = weight * F.lit(tokens) / F.col("n_tokens")
+    # The exponent is found within 3e-8, so a whole draw is not lost to its last digits.
+    passes = F.floor(draws + F.lit(1e-6)).cast("long")
+    rest = F.floor(F.greatest(draws - passes, F.lit(0.0)) * F.col("n_tokens")).cast("long")
     return powered.select("source", weight.alias("weight"), passes.alias("passes"), rest.alias("rest"))
 
 

@@ -27,7 +27,7 @@ KINDS = ("assign", "access", "hex", "novel")
 
 # Novelty: words that make the text before a string sensitive, and how far before.
 SENSITIVE = re.compile(
-    r"(?ai:passw|passphrase|pwd|secret|token|api_?key|access_?key|private_?key|credential|bearer|authorization)"
+    r"(?ai:passw|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|bearer|authorization)"
 )
 HINTS = ("passw", "passp", "pwd", "secret", "token", "key", "credential", "bearer", "authoriz")
 REACH = 64
