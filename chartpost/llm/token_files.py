@@ -25,7 +25,12 @@ CODED, PLAIN = b"TKV1", b"TKP1"
 BLOCK_IDS = 1 << 19
 # Bytes of the four values under each control byte, two bits a value, lowest first.
 SIZES = ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3).astype(np.uint8) + 1
-FILES = "bucket int, path string, n_docs long, n_ids long, id long, n long"
+FILES = "bucket int, path string, n_docs long, n_ids long, counts binary"
+# Files whose id counts are summed by one task before they are summed over all.
+FILES_PER_SUM = 64
+FILE_SCHEMA = pa.schema(
+    [("bucket", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("counts", pa.binary())]
+)
 # Ranges per shuffle partition; several small ones even out.
 RANGES = 3
 
@@ -127,6 +132,7 @@ def _write_plain(folder: str) -> Callable:
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, bucket, writer = zstandard.ZstdCompressor(3), None, None
+        unpress = zstandard.ZstdDecompressor()
         counts = np.zeros(0, np.int64)
         doc_ids, lengths, held, waiting = [], [], [], 0
 
@@ -145,14 +151,15 @@ def _write_plain(folder: str) -> Callable:
         def finish():
             nonlocal counts
             flush()
-            ids = np.flatnonzero(counts)
-            size = len(ids)
-            columns = [np.full(size, bucket, np.int32), [writer.name] * size, np.full(size, writer.docs), np.full(size, writer.ids), ids, counts[ids]]
-            writer.close()
+            row = {
+                "bucket": [bucket],
+                "path": [writer.close()],
+                "n_docs": [writer.docs],
+                "n_ids": [writer.ids],
+                "counts": [press.compress(counts.astype("<i8").tobytes())],
+            }
             counts = np.zeros(0, np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], ["bucket", "path", "n_docs", "n_ids", "id", "n"]
-            )
+            return pa.RecordBatch.from_pydict(row, FILE_SCHEMA)
 
         for batch in batches:
             for row in range(batch.num_rows):
@@ -163,7 +170,7 @@ def _write_plain(folder: str) -> Callable:
                     bucket, writer = now, BlockWriter(folder, f"plain-{now:06d}")
                 doc_ids.append(batch.column(1)[row].as_py())
                 lengths.append(batch.column(2)[row].as_py())
-                held.append(zstandard.ZstdDecompressor().decompress(batch.column(3)[row].as_py()))
+                held.append(unpress.decompress(batch.column(3)[row].as_py()))
                 waiting += lengths[-1]
                 if waiting >= BLOCK_IDS:
                     flush()
@@ -173,6 +180,20 @@ def _write_plain(folder: str) -> Callable:
     return write
 
 
+def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of each id over the files of a task."""
+    unpress, total = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
+    for batch in batches:
+        for blob in batch.column(0):
+            counts = np.frombuffer(unpress.decompress(blob.as_py()), "<i8").copy()
+            if len(counts) < len(total):
+                counts, total = total, counts
+            counts[: len(total)] += total
+            total = counts
+    ids = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
+
+
 def _write_coded(folder: str, vocabulary: np.ndarray) -> Callable:
     """Each plain file -> one of ranks in the byte-aligned code."""
 
@@ -215,11 +236,13 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id:
             .mapInArrow(_write_plain(folder), FILES),
             "plain-files",
         )
-    ranked = files.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id")
+    summed = files.select("counts").repartition(-(-files.count() // FILES_PER_SUM) or 1)
+    counts = summed.mapInArrow(_sum_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    ranked = counts.orderBy(F.desc("n"), "id")
     vocabulary = np.array([row.id for row in ranked.collect()], np.int64)
     with at.open_output_stream(f"{path}/vocabulary.u32") as stream:
         stream.write(vocabulary.astype("<u4").tobytes())
-    manifest = files.select("bucket", "path", "n_docs", "n_ids").distinct()
+    manifest = files.select("bucket", "path", "n_docs", "n_ids")
     schema = "bucket int, path string, n_docs long, n_ids long"
     return store(
         manifest.repartition(RANGES * parts).mapInArrow(_write_coded(folder, vocabulary), schema), "manifest"

@@ -79,7 +79,8 @@ class TokenIds:
         words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
         at = coded.indices.to_numpy()
-        pieces = list(map(self.pieces.__getitem__, coded.dictionary.to_pylist()))
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        pieces = list(map(self.pieces.__getitem__, different))
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
         table = np.frombuffer(b"".join(pieces), "<u4")
         size = sizes[at]
