@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartpost.operators.skew import CHUNK, broadcast_if_small, in_ordered_chunks
+from chartpost.operators.skew import CHUNK, in_ordered_chunks
 from chartpost.policies import CircuitPolicy
 from chartpost.session import cut_lineage
 
@@ -38,8 +38,8 @@ def circuit_tail(attempts: DataFrame) -> DataFrame:
     """
     sent = _sent(attempts)
     position = F.struct(*ORDER)
-    last_success = broadcast_if_small(
-        sent.groupBy("endpoint").agg(F.max(F.when(F.col("ok"), position)).alias("_last_ok"))
+    last_success = sent.groupBy("endpoint").agg(
+        F.max(F.when(F.col("ok"), position)).alias("_last_ok")
     )
     after = (
         sent.where(~F.col("ok"))

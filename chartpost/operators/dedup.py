@@ -73,8 +73,8 @@ def classify(folded: DataFrame, delivered: DataFrame) -> DataFrame:
 def gate(classified: DataFrame, circuit: DataFrame) -> DataFrame:
     """Turn new keys of an open endpoint into ``gated`` ones.
 
-    ``circuit`` has one row per endpoint; pass it through ``broadcast_if_small`` so
-    that a batch aimed at one endpoint is not shuffled onto one task.
+    ``circuit`` has one row per endpoint.  Adaptive execution broadcasts it, and splits
+    the shuffle of a batch aimed at one endpoint where it does not.
     """
     states = circuit.select(
         "endpoint",

@@ -84,12 +84,16 @@ def _accepted(status: int, body: str | None, returns_id: bool) -> bool:
         return False
 
 
+# Attempts, with the bodies of their answers, that a task holds before it hands them on.
+LOGGED_ROWS = 500
+
+
 def deliver(
     requests: DataFrame,
     open_transport: OpenTransport,
     retry: RetryPolicy = RetryPolicy(),
     circuit: CircuitPolicy | None = CircuitPolicy(),
-    token: str = "",
+    token: str | Callable[[], str] = "",
     sleep: Callable[[float], None] = time.sleep,
     clock: Callable[[], float] = time.time,
 ) -> DataFrame:
@@ -97,7 +101,8 @@ def deliver(
 
     Each task opens one transport and sends one request at a time, so the number of
     partitions is the number of requests in flight.  The circuit is tracked per task
-    and endpoint, starting from the state the rows bring along.
+    and endpoint, starting from the state the rows bring along.  A token provider is
+    asked on the executor before each request, so that it may renew what expires.
     """
     delays = retry.delays()
     ship_package(requests.sparkSession)
@@ -134,9 +139,10 @@ def deliver(
                 return
             headers = dict(request["headers"])
             headers["X-Request-Id"] = request["request_id"]
-            if token:
-                headers["Authorization"] = f"Bearer {token}"
             for attempt in range(retry.max_retries + 1):
+                bearer = token() if callable(token) else token
+                if bearer:
+                    headers["Authorization"] = f"Bearer {bearer}"
                 status, body, error = None, None, None
                 try:
                     status, body = send(request["url"], headers, request["request_body"])
@@ -167,7 +173,12 @@ def deliver(
                     return
 
         for batch in batches:
-            rows = [row for request in batch.to_pylist() for row in send_one(request)]
+            rows = []
+            for request in batch.to_pylist():
+                rows.extend(send_one(request))
+                if len(rows) >= LOGGED_ROWS:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
+                    rows = []
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
 
     return requests.select(*REQUEST_COLUMNS).mapInArrow(send_partition, ATTEMPT_DDL)

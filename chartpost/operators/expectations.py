@@ -31,6 +31,50 @@ def delivery_rules(columns: list[str]) -> dict[str, Column]:
     }
 
 
+def observation_rules() -> dict[str, Column]:
+    """The same for normalised observations, whichever way they came."""
+    present = F.col("value_num").isNotNull()
+    for name in ("value_str", "value_bool"):
+        present = present | F.col(name).isNotNull()
+    return {
+        "valid_patient": F.col("patient_id").isNotNull(),
+        "valid_code": F.col("code").isNotNull(),
+        "valid_value": present & F.coalesce(_finite("value_num"), F.lit(True)),
+        "valid_effective": F.col("effective_datetime").isNotNull(),
+    }
+
+
+def cohort_rules() -> dict[str, Column]:
+    """What a measurement needs before its scores can be sent."""
+    return {
+        **measurement_rules(),
+        "valid_patient": F.col("patient_id").isNotNull(),
+        "valid_measured_at": F.col("measured_at").isNotNull(),
+    }
+
+
+def quarantine_rows(rejected: DataFrame) -> DataFrame:
+    """Rows with ``failed_rules``, in the shape of the quarantine table.
+
+    Inputs differ in their columns; ``row_json`` keeps them all.
+    """
+
+    def first_of(names: tuple[str, ...], kind: str) -> Column:
+        here = [F.col(name).cast(kind) for name in names if name in rejected.columns]
+        return here[0] if here else F.lit(None).cast(kind)
+
+    kept = [name for name in rejected.columns if name != "failed_rules"]
+    shaped = rejected.select(
+        first_of(("patient_id",), "string").alias("patient_id"),
+        first_of(("observation_code", "code"), "string").alias("observation_code"),
+        first_of(("effective_datetime", "measured_at"), "timestamp").alias("effective_datetime"),
+        first_of(("queued_at",), "timestamp").alias("queued_at"),
+        "failed_rules",
+        F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}).alias("row_json"),
+    )
+    return shaped.withColumn("row_hash", F.xxhash64("failed_rules", "row_json"))
+
+
 def measurement_rules() -> dict[str, Column]:
     """Scoring inputs must be there; NaN would compare above every number."""
     doubles = ("temperature_c", "wbc_count", "lactate")

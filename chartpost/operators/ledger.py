@@ -5,13 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartpost.operators.skew import CHUNK, MAX_BROADCAST_ROWS, in_ordered_chunks
+from chartpost.operators.skew import CHUNK, in_ordered_chunks
 from chartpost.schemas import DELIVERY_KEY, LEDGER, SUCCESS
 from chartpost.session import cut_lineage
 
-# Beyond this many dates a batch scans the whole ledger instead of listing them.
-MAX_PRUNED_DATES = 1000
-
 
 def current_ledger(events: DataFrame) -> DataFrame:
     """Latest event per delivery key: what an upsert by key would have left.
@@ -36,27 +33,26 @@ def success_keys(events: DataFrame) -> DataFrame:
 
 
 def delivered_keys(events: DataFrame, batch_keys: DataFrame) -> DataFrame:
-    """Success keys of a small batch: its keys are broadcast to the ledger scan.
+    """Success keys among those of a batch.
 
-    Beyond the bound the success keys of all given events are returned; the caller's
-    join then does the matching.
+    The ledger is reduced to the batch's keys before its latest event is picked; adaptive
+    execution broadcasts a small batch and shuffles a large one.
     """
-    keys = cut_lineage(batch_keys.select(*DELIVERY_KEY).distinct())
-    if keys.count() > MAX_BROADCAST_ROWS:
-        return success_keys(events)
-    return success_keys(events.join(F.broadcast(keys), list(DELIVERY_KEY), "left_semi"))
+    keys = batch_keys.select(*DELIVERY_KEY).distinct()
+    return success_keys(events.join(keys, list(DELIVERY_KEY), "left_semi"))
 
 
 def prune_dates(events: DataFrame, batch: DataFrame) -> DataFrame:
     """Keep the ledger partitions of the batch's effective dates.
 
-    Exact, because equal keys have equal dates.  The date list is read with a bound;
-    a batch with more dates reads the whole ledger.
+    Exact, because equal keys have equal dates.  The join on the partition column lets
+    Spark skip the folders of all other dates, however many dates there are.  Dates are
+    taken from the instant, so no key is hashed for them.
     """
-    dates = batch.select("effective_date").distinct().limit(MAX_PRUNED_DATES + 1).collect()
-    if len(dates) > MAX_PRUNED_DATES:
-        return events
-    return events.where(F.col("effective_date").isin([d.effective_date for d in dates]))
+    has_instant = "effective_datetime" in batch.columns
+    date = F.to_date("effective_datetime") if has_instant else F.col("effective_date")
+    dates = batch.select(date.alias("effective_date")).distinct()
+    return events.join(dates, "effective_date", "left_semi")
 
 
 def ledger_rows(outcomes: DataFrame) -> DataFrame:

@@ -32,6 +32,12 @@ def map_patients(rows: DataFrame, patient_map: DataFrame) -> DataFrame:
     )
 
 
+def mark_unmapped(rows: DataFrame, patient_map: DataFrame) -> DataFrame:
+    """All rows, with the endpoint's patient id in ``endpoint_patient_id`` or null there."""
+    known = patient_map.select("patient_id", "endpoint_patient_id")
+    return rows.join(known, "patient_id", "left")
+
+
 def unmapped_patients(rows: DataFrame, patient_map: DataFrame) -> DataFrame:
     """Ids without a map entry and how many rows they hold back."""
     counted = rows.groupBy("patient_id").agg(F.count(F.lit(1)).alias("n_rows"))

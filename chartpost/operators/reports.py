@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartpost.operators.dedup import DELIVERED
-from chartpost.schemas import DEAD_LETTERED, SUCCESS
+from chartpost.schemas import DEAD_LETTERED, DELIVERY_KEY, SUCCESS
 
 
 def batch_summary(outcomes: DataFrame, planned: DataFrame) -> DataFrame:
@@ -47,17 +47,20 @@ def batch_summary(outcomes: DataFrame, planned: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(log: DataFrame) -> DataFrame:
-    """Keys the log holds more than once."""
+    """Deliveries (key, system, API) the log holds more than once."""
     return (
-        log.groupBy("idempotency_key")
+        log.groupBy(*DELIVERY_KEY)
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .where(F.col("n_rows") > 1)
     )
 
 
 def validation_summary(queue: DataFrame, log: DataFrame, letters: DataFrame) -> DataFrame:
-    """Metric lines; the log is grouped once for rows, distinct and duplicate keys."""
-    per_key = log.groupBy("idempotency_key").agg(F.count(F.lit(1)).alias("n"))
+    """Metric lines; the log is grouped once for rows, distinct and duplicate deliveries.
+
+    One observation sent to two systems is two deliveries under one key, not a duplicate.
+    """
+    per_key = log.groupBy(*DELIVERY_KEY).agg(F.count(F.lit(1)).alias("n"))
     of_log = per_key.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("log_rows"),
         F.count(F.lit(1)).alias("distinct_idempotency_keys"),
@@ -114,6 +117,7 @@ def first_written(outcomes: DataFrame, n: int = 5) -> DataFrame:
 
 
 def latest_of_code(observations: DataFrame, code: str, n: int = 20) -> DataFrame:
-    """Newest observations of one code."""
+    """Newest observations of one code, ties in order of patient and value."""
     matching = observations.where(F.col("code") == code)
-    return latest(matching, "effective_datetime", "patient_id", n=n)
+    ties = [c for c in ("patient_id", "value_str", "value_num", "encounter_id") if c in matching.columns]
+    return latest(matching, "effective_datetime", *ties, n=n)

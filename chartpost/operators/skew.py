@@ -10,18 +10,8 @@ from pyspark.sql import functions as F
 from chartpost.session import cut_lineage, shuffle_partitions
 
 CHUNK = "_chunk"
-MAX_BROADCAST_ROWS = 100_000
-MAX_TOP_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Materialise ``df``, count it and mark it for broadcast only within the bound.
-
-    Beyond the bound the stored rows are returned unmarked and the join shuffles;
-    both inputs are then plain shuffles, which adaptive execution splits on skew.
-    """
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+# Each task sends at most so many rows to the one that merges them.
+MAX_TOP_ROWS = 1_000
 
 
 def plain_side(df: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,13 +26,14 @@ from chartpost.operators import (
     readback,
     reports,
 )
-from chartpost.operators.skew import broadcast_if_small, plain_side
+from chartpost.operators.skew import plain_side
 from chartpost.plans import bindings as b
 from chartpost.plans.jobs import (
     Endpoint,
     reprocess_dead_letters,
     reprocess_endpoint,
     run_delivery_batch,
+    score_and_deliver,
     validate_run,
 )
 from chartpost.plans.scripted import scripted_transport
@@ -534,7 +536,7 @@ def _classified(spark: SparkSession, d: str) -> DataFrame:
     states = circuit.circuit_state(
         b.attempts(spark, d), F.lit(AS_OF).cast("timestamp"), GATE_POLICY
     )
-    return dedup.gate(marked, broadcast_if_small(states))
+    return dedup.gate(marked, states)
 
 
 @query
@@ -789,7 +791,7 @@ def new_workspace(spark: SparkSession) -> Workspace:
 
 
 def _queued_workspace(spark: SparkSession, d: str) -> Workspace:
-    """A workspace whose queue holds the numeric part of the queue view."""
+    """A workspace whose queue holds the queue view: numbers, texts, booleans and metadata."""
     workspace = new_workspace(spark)
     rows = b.obs_queue(spark, d).select(*QUEUE.fieldNames())
     rows.write.mode("append").parquet(workspace.path("observations_queue"))
@@ -824,6 +826,61 @@ def delivery_job(spark, d):
     )
 
 
+@query
+def flowsheet_job(spark, d):
+    """One batch over the flowsheet route, whose answers hold no id."""
+    workspace = _queued_workspace(spark, d)
+    target = replace(_endpoint(), ehr_system="epic", api="flowsheet")
+    run_delivery_batch(spark, workspace, target, "b1", limit=None)
+    rows = ledger.current_ledger(read_table(spark, workspace, "delivery_ledger"))
+    return rows.select(*KEY, "patient_id", "status", "ehr_resource_id", "error_message")
+
+
+@query
+def two_system_report(spark, d):
+    """One queue sent to two systems; one observation is two deliveries, no duplicate."""
+    workspace = _queued_workspace(spark, d)
+    run_delivery_batch(spark, workspace, _endpoint(), "b1", limit=None)
+    other = replace(_endpoint(), ehr_system="cerner")
+    run_delivery_batch(spark, workspace, other, "b2", limit=None)
+    return validate_run(spark, workspace)["summary"]
+
+
+@query
+def limited_batch(spark, d):
+    """The 25 oldest keys; what stays over is left for the next batch."""
+    workspace = _queued_workspace(spark, d)
+    run_delivery_batch(spark, workspace, _endpoint(), "b1", limit=25)
+    rows = read_table(spark, workspace, "delivery_ledger")
+    return rows.select(*KEY, "patient_id", "observation_code", "status", "retry_count")
+
+
+@query
+def quarantined_inputs(spark, d):
+    """What two batches over one ready table put aside, each row once."""
+    workspace = _queued_workspace(spark, d)
+    for batch_id in ("b1", "b2"):
+        run_delivery_batch(spark, workspace, _endpoint(), batch_id, limit=None)
+    rows = read_table(spark, workspace, "quarantine")
+    return rows.groupBy("batch_id", "failed_rules").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def score_delivery_job(spark, d):
+    """Scores of a cohort with gaps; each measurement is sent or put aside."""
+    e = F.col("event_id")
+    measured = b.measurements(spark, d).withColumns(
+        {
+            "measured_at": F.when(e % 53 != 0, F.col("measured_at")),
+            "lactate": F.when(e % 47 != 0, F.col("lactate")),
+        }
+    )
+    workspace = new_workspace(spark)
+    known = b.patient_map(spark, d)
+    summary = score_and_deliver(spark, workspace, measured, known, _endpoint(), "s1")
+    return summary.drop("batch_id", "finished_at")
+
+
 @query
 def delivery_rerun(spark, d):
     """A second batch sends only what has not succeeded; no key is added."""
@@ -832,7 +889,7 @@ def delivery_rerun(spark, d):
     for batch_id in ("b1", "b2"):
         summary = run_delivery_batch(spark, workspace, _endpoint(), batch_id, limit=None)
         keys = ledger.current_ledger(read_table(spark, workspace, "delivery_ledger")).agg(
-            F.count_distinct("idempotency_key").alias("distinct_keys")
+            F.count_distinct(*KEY).alias("distinct_keys")
         )
         # Stored, because the ledger changes with the next batch.
         path = workspace.path(f"reports/{batch_id}")

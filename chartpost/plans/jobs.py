@@ -26,7 +26,14 @@ from chartpost.operators.dead_letters import (
 )
 from chartpost.operators.dedup import DELIVERED, GATED, NEW, classify, fold_batch, gate, next_rows
 from chartpost.operators.delivery import OpenTransport, deliver, split_waves, spread_requests
-from chartpost.operators.expectations import delivery_rules, keep_invalid, keep_valid
+from chartpost.operators.expectations import (
+    cohort_rules,
+    delivery_rules,
+    keep_invalid,
+    keep_valid,
+    observation_rules,
+    quarantine_rows,
+)
 from chartpost.operators.ledger import (
     current_ledger,
     delivered_keys,
@@ -41,18 +48,17 @@ from chartpost.operators.outcomes import (
     gated_outcomes,
     resolve_attempts,
 )
-from chartpost.operators.patients import map_patients
+from chartpost.operators.patients import mark_unmapped
 from chartpost.operators.reports import (
     batch_summary,
     latest,
     status_counts,
     validation_summary,
 )
-from chartpost.operators.skew import broadcast_if_small
 from chartpost.policies import BATCH_RETRY, REPROCESS_RETRY, CircuitPolicy, RetryPolicy
-from chartpost.schemas import DELIVERY_KEY, OBSERVATION, SUCCESS
+from chartpost.schemas import DEAD_LETTERED, DELIVERY_KEY, OBSERVATION, REPROCESSED, SUCCESS
 from chartpost.session import prepare_session
-from chartpost.sources.routes import ROUTES, Route
+from chartpost.sources.routes import ROUTES, Route, check_route
 from chartpost.sources.tables import (
     Workspace,
     append_rows,
@@ -60,6 +66,7 @@ from chartpost.sources.tables import (
     is_complete,
     read_table,
     replace_batch,
+    write_once,
 )
 
 PLAN_COLUMNS = [
@@ -94,18 +101,43 @@ class Endpoint:
     routes: tuple[Route, ...] = ROUTES
 
 
-def _check(spark: SparkSession, batch_id: str) -> None:
+MARKER_CONF = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+
+
+def _check(spark: SparkSession, batch_id: str, endpoint: Endpoint) -> None:
     prepare_session(spark)
+    check_route(endpoint.ehr_system, endpoint.api, endpoint.routes)
+    if spark.sparkContext._jsc.hadoopConfiguration().get(MARKER_CONF, "true") == "false":
+        raise RuntimeError(f"restarts rely on completion markers; do not turn {MARKER_CONF} off")
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", batch_id):
         raise ValueError(f"batch id {batch_id!r} cannot name a partition")
     if spark.conf.get("spark.speculation", "false") == "true":
         raise RuntimeError("speculative execution would send requests twice; turn it off")
 
 
-def _stored_summary(spark: SparkSession, workspace: Workspace, batch_id: str) -> DataFrame:
+def _stored_summary(
+    spark: SparkSession, workspace: Workspace, batch_id: str
+) -> DataFrame | None:
+    """The summary of a batch that has finished."""
+    if not is_complete(spark, batch_path(workspace, "delivery_batches", batch_id=batch_id)):
+        return None
     return read_table(spark, workspace, "delivery_batches").where(F.col("batch_id") == batch_id)
 
 
+def _quarantine(
+    spark: SparkSession, workspace: Workspace, rejected: DataFrame, batch_id: str
+) -> None:
+    """Store rejected rows (see ``quarantine_rows``) that no other batch has stored."""
+    earlier = (
+        read_table(spark, workspace, "quarantine")
+        .where(F.col("batch_id") != batch_id)
+        .select("row_hash")
+        .distinct()
+    )
+    fresh = rejected.join(earlier, "row_hash", "left_anti")
+    write_once(spark, fresh, workspace, "quarantine", batch_id=batch_id)
+
+
 def _addressed(observations: DataFrame, endpoint: Endpoint) -> DataFrame:
     return with_key(observations).withColumns(
         {
@@ -132,7 +164,8 @@ def _write_plan(
     if policy is None:  # no circuit: every endpoint is closed
         states = F.broadcast(with_state(latest_counts(snapshots.limit(0)), now))
     else:
-        states = broadcast_if_small(with_state(latest_counts(snapshots), now, policy))
+        # One endpoint, so one row.
+        states = F.broadcast(with_state(latest_counts(snapshots), now, policy))
     gated = gate(classified, states).withColumn("planned_at", now)
     skipped = F.col("outcome") == DELIVERED
     kept = {*DELIVERY_KEY, "outcome", "occurrences", "effective_date"}
@@ -179,7 +212,7 @@ def _send(
                 endpoint.open_transport,
                 retry=endpoint.retry,
                 circuit=endpoint.circuit,
-                token=endpoint.token_provider(),
+                token=endpoint.token_provider,
                 sleep=endpoint.sleep,
             )
             # The only action that sends.
@@ -202,15 +235,15 @@ def _run_plan(
     endpoint: Endpoint,
     batch_id: str,
     plan_path: str,
-    limit: int | None,
 ) -> tuple[DataFrame, DataFrame]:
     """Send the planned rows, resolve and record them; returns (outcomes, plan).
 
     Every step reads what the step before has stored, and a step that finished in an
-    earlier run is not repeated, so a restarted batch does not send again.
+    earlier run is not repeated, so a restarted batch does not send again.  Each state
+    table holds a batch as a partition with its own completion marker.
     """
     plan = spark.read.parquet(plan_path)
-    to_send = next_rows(plan.where(F.col("outcome").isin(NEW, GATED)), limit)
+    to_send = plan.where(F.col("outcome").isin(NEW, GATED))
     _send(spark, workspace, endpoint, batch_id, to_send.where(F.col("outcome") == NEW))
 
     outcome_path = workspace.path(f"plans/{batch_id}/outcomes")
@@ -227,33 +260,27 @@ def _run_plan(
         ).write.mode("overwrite").parquet(outcome_path)
     outcomes = spark.read.parquet(outcome_path)
 
-    ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), outcomes)
-    if ledger.where(F.col("batch_id") == batch_id).isEmpty():
-        append_rows(ledger_rows(outcomes), workspace, "delivery_ledger")
-    letters = read_table(spark, workspace, "dead_letters")
-    if letters.where(F.col("batch_id") == batch_id).isEmpty():
-        append_rows(
-            dead_letter_rows(dead_letter_outcomes(outcomes)), workspace, "dead_letters"
-        )
+    write_once(spark, ledger_rows(outcomes), workspace, "delivery_ledger", batch_id=batch_id)
+    letters = dead_letter_rows(dead_letter_outcomes(outcomes))
+    write_once(spark, letters, workspace, "dead_letters", batch_id=batch_id, event=DEAD_LETTERED)
     _write_snapshot(spark, workspace, endpoint, batch_id)
-    counted = plan.where(F.col("outcome") == DELIVERED).select("outcome", "occurrences")
-    return outcomes, counted.unionByName(to_send.select("outcome", "occurrences"))
+    return outcomes, plan.select("outcome", "occurrences")
 
 
 def _write_snapshot(
     spark: SparkSession, workspace: Workspace, endpoint: Endpoint, batch_id: str
 ) -> None:
     """Circuit counts after this batch, so that the next one need not read old attempts."""
+    if is_complete(spark, batch_path(workspace, "circuit_snapshots", batch_id=batch_id)):
+        return
     snapshots = read_table(spark, workspace, "circuit_snapshots").where(
-        F.col("endpoint") == endpoint.base_url
+        (F.col("endpoint") == endpoint.base_url) & (F.col("batch_id") != batch_id)
     )
-    if not snapshots.where(F.col("batch_id") == batch_id).isEmpty():
-        return
     attempts = read_table(spark, workspace, "attempt_log").where(F.col("batch_id") == batch_id)
-    counts = advance_circuit(latest_counts(snapshots), attempts).withColumns(
-        {"taken_at": F.current_timestamp(), "batch_id": F.lit(batch_id)}
+    counts = advance_circuit(latest_counts(snapshots), attempts).withColumn(
+        "taken_at", F.current_timestamp()
     )
-    append_rows(counts, workspace, "circuit_snapshots")
+    replace_batch(counts, workspace, "circuit_snapshots", batch_id=batch_id)
 
 
 def _finish(
@@ -263,13 +290,42 @@ def _finish(
     outcomes: DataFrame,
     planned: DataFrame,
 ) -> DataFrame:
-    summary = batch_summary(outcomes, planned).withColumns(
-        {"batch_id": F.lit(batch_id), "finished_at": F.current_timestamp()}
-    )
-    append_rows(summary, workspace, "delivery_batches")
+    """Summary of the batch; quarantined are its rejected inputs, beside ``total``."""
+    refused = read_table(spark, workspace, "quarantine").where(F.col("batch_id") == batch_id)
+    counted = refused.agg(F.count(F.lit(1)).alias("quarantined"))
+    # One row on either side.
+    summary = batch_summary(outcomes, planned).withColumn("_one", F.lit(1))
+    joined = summary.join(F.broadcast(counted.withColumn("_one", F.lit(1))), "_one")
+    finished = joined.withColumn("finished_at", F.current_timestamp())
+    write_once(spark, finished, workspace, "delivery_batches", batch_id=batch_id)
     return _stored_summary(spark, workspace, batch_id)
 
 
+def _next_batch(
+    spark: SparkSession, keyed: DataFrame, delivered: DataFrame, limit: int, path: str
+) -> DataFrame:
+    """The ``limit`` oldest undelivered keys with their rows, and one row of skipped counts.
+
+    Keys and times alone are folded, matched and ordered; only the chosen keys, which
+    are stored first, fetch their observations.  The rest of a long ready table leaves a
+    count of what is delivered already.
+    """
+    thin = keyed.select(*DELIVERY_KEY, "endpoint", "queued_at", "effective_datetime", "effective_date")
+    marked = classify(fold_batch(thin), delivered)
+    if not is_complete(spark, path):
+        chosen = next_rows(marked.where(F.col("outcome") == NEW), limit)
+        chosen.select(*DELIVERY_KEY, "occurrences", "outcome").write.mode("overwrite").parquet(path)
+    chosen = spark.read.parquet(path)
+    matching = keyed.join(chosen.select(*DELIVERY_KEY), list(DELIVERY_KEY), "left_semi")
+    rows = fold_batch(matching).drop("occurrences").join(chosen, list(DELIVERY_KEY))
+    skipped = marked.where(F.col("outcome") == DELIVERED).agg(
+        F.coalesce(F.sum("occurrences"), F.lit(0)).alias("occurrences")
+    )
+    return rows.unionByName(
+        skipped.withColumn("outcome", F.lit(DELIVERED)), allowMissingColumns=True
+    )
+
+
 def deliver_observations(
     spark: SparkSession,
     workspace: Workspace,
@@ -277,21 +333,39 @@ def deliver_observations(
     endpoint: Endpoint,
     batch_id: str,
     limit: int | None = None,
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
-    """Deliver normalised observations (with ``queued_at``); returns the one-row summary."""
-    _check(spark, batch_id)
+    """Deliver normalised observations (with ``queued_at``); returns the one-row summary.
+
+    Rows without patient, code, instant or a value JSON can carry go to the quarantine
+    table, with what the caller has ``rejected`` before.  Every other row has a key, and
+    is sent, skipped or dead-lettered; without a limit, total + quarantined (new ones) is
+    the number of inputs.
+    """
+    _check(spark, batch_id, endpoint)
     done = _stored_summary(spark, workspace, batch_id)
-    if not done.isEmpty():
+    if done is not None:
         return done
+    rules = observation_rules()
+    refused = quarantine_rows(keep_invalid(observations, rules))
+    if rejected is not None:
+        refused = refused.unionByName(rejected)
+    _quarantine(spark, workspace, refused, batch_id)
     plan_path = workspace.path(f"plans/{batch_id}/classified")
     if not is_complete(spark, plan_path):
-        keyed = _addressed(observations, endpoint)
-        ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), keyed).where(
+        valid = keep_valid(observations, rules)
+        keyed = _addressed(valid, endpoint)
+        ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), valid).where(
             (F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api)
         )
-        classified = classify(fold_batch(keyed), success_keys(ledger))
+        delivered = success_keys(ledger)
+        if limit is None:
+            classified = classify(fold_batch(keyed), delivered)
+        else:
+            chosen_path = workspace.path(f"plans/{batch_id}/chosen")
+            classified = _next_batch(spark, keyed, delivered, limit, chosen_path)
         _write_plan(spark, workspace, classified, endpoint, plan_path)
-    outcomes, planned = _run_plan(spark, workspace, endpoint, batch_id, plan_path, limit)
+    outcomes, planned = _run_plan(spark, workspace, endpoint, batch_id, plan_path)
     return _finish(spark, workspace, batch_id, outcomes, planned)
 
 
@@ -303,21 +377,21 @@ def run_delivery_batch(
     limit: int | None = 100,
     queued_since: str | None = None,
 ) -> DataFrame:
-    """Deliver from the ready table.
+    """Deliver from the ready table: by default the 100 oldest undelivered keys.
 
     ``queued_since`` (a date) prunes the ready partitions of a long-lived table.
-    Rows without a deliverable value or instant go to the quarantine table.
+    Rows without a deliverable value or instant go to the quarantine table, each once.
     """
-    _check(spark, batch_id)
     ready = read_table(spark, workspace, "observations_ready")
     if queued_since is not None:
         ready = ready.where(F.col("queued_date") >= F.lit(queued_since).cast("date"))
     ready = ready.drop("queued_date")
     rules = delivery_rules(ready.columns)
-    if not is_complete(spark, batch_path(workspace, "quarantine", batch_id=batch_id)):
-        replace_batch(keep_invalid(ready, rules), workspace, "quarantine", batch_id=batch_id)
+    rejected = quarantine_rows(keep_invalid(ready, rules))
     observations = to_observations(keep_valid(ready, rules))
-    return deliver_observations(spark, workspace, observations, endpoint, batch_id, limit)
+    return deliver_observations(
+        spark, workspace, observations, endpoint, batch_id, limit, rejected
+    )
 
 
 def reprocess_dead_letters(
@@ -329,11 +403,12 @@ def reprocess_dead_letters(
 ) -> DataFrame:
     """Send pending letters again; delivered ones (now or meanwhile) are marked.
 
-    A letter whose JSON cannot be restored stays pending and takes no place in the limit.
+    A letter whose JSON cannot be restored goes to the quarantine table; it stays pending
+    and takes no place in the limit.
     """
-    _check(spark, batch_id)
+    _check(spark, batch_id, endpoint)
     done = _stored_summary(spark, workspace, batch_id)
-    if not done.isEmpty():
+    if done is not None:
         return done
     letters = read_table(spark, workspace, "dead_letters")
     plan_path = workspace.path(f"plans/{batch_id}/classified")
@@ -341,7 +416,10 @@ def reprocess_dead_letters(
         mine = letters.where(
             (F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api)
         )
-        pending = restore_letters(pending_letters(mine, limit=None)).where("restored")
+        restored = restore_letters(pending_letters(mine, limit=None))
+        broken = restored.where("not restored").withColumn("failed_rules", F.lit("readable_letter"))
+        _quarantine(spark, workspace, quarantine_rows(broken), batch_id)
+        pending = restored.where("restored")
         batch = (
             next_rows(pending.withColumn("queued_at", F.col("dead_lettered_at")), limit)
             .withColumns(
@@ -355,18 +433,15 @@ def reprocess_dead_letters(
         ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), batch)
         classified = classify(batch, delivered_keys(ledger, batch))
         _write_plan(spark, workspace, classified, endpoint, plan_path)
-    outcomes, planned = _run_plan(spark, workspace, endpoint, batch_id, plan_path, None)
+    outcomes, planned = _run_plan(spark, workspace, endpoint, batch_id, plan_path)
     marked = (
         spark.read.parquet(plan_path)
         .where(F.col("outcome") == DELIVERED)
         .select(*DELIVERY_KEY)
         .unionByName(outcomes.where(F.col("status") == SUCCESS).select(*DELIVERY_KEY))
     )
-    marks = letters.where((F.col("batch_id") == batch_id) & (F.col("event") == "reprocessed"))
-    if marks.isEmpty():
-        append_rows(
-            reprocessed_rows(marked, F.current_timestamp(), batch_id), workspace, "dead_letters"
-        )
+    marks = reprocessed_rows(marked, F.current_timestamp(), batch_id)
+    write_once(spark, marks, workspace, "dead_letters", batch_id=batch_id, event=REPROCESSED)
     return _finish(spark, workspace, batch_id, outcomes, planned)
 
 
@@ -385,10 +460,24 @@ def score_and_deliver(
     endpoint: Endpoint,
     batch_id: str,
 ) -> DataFrame:
-    """Score measurements, map patients to endpoint ids and deliver both observations."""
-    scores = map_patients(score_cohort(measurements), patient_map)
+    """Score measurements, map patients to endpoint ids and deliver both observations.
+
+    Measurements that break a rule or whose patient the map does not hold go to the
+    quarantine table, one row each: measurements = total / 2 + quarantined.
+    """
+    rules = cohort_rules()
+    mapped = mark_unmapped(keep_valid(measurements, rules), patient_map)
+    known = F.col("endpoint_patient_id").isNotNull()
+    unmapped = mapped.where(~known).drop("endpoint_patient_id")
+    rejected = quarantine_rows(keep_invalid(measurements, rules)).unionByName(
+        quarantine_rows(unmapped.withColumn("failed_rules", F.lit("mapped_patient")))
+    )
+    scored = score_cohort(mapped.where(known))
+    scores = scored.withColumn("patient_id", F.col("endpoint_patient_id"))
     rows = score_observations(scores).withColumn("queued_at", F.col("effective_datetime"))
-    return deliver_observations(spark, workspace, to_observations(rows), endpoint, batch_id)
+    return deliver_observations(
+        spark, workspace, to_observations(rows), endpoint, batch_id, rejected=rejected
+    )
 
 
 def compact_ledger(spark: SparkSession, workspace: Workspace, target: Workspace) -> None:
@@ -412,6 +501,6 @@ def validate_run(spark: SparkSession, workspace: Workspace) -> dict[str, DataFra
             read_table(spark, workspace, "observations_queue"), log, letters
         ),
         "status_counts": status_counts(log),
-        "latest_log": latest(log, "attempted_at", "idempotency_key"),
-        "latest_dead_letters": latest(letters, "event_at", "idempotency_key"),
+        "latest_log": latest(log, "attempted_at", *DELIVERY_KEY, "seq"),
+        "latest_dead_letters": latest(letters, "event_at", *DELIVERY_KEY, "seq"),
     }

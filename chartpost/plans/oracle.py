@@ -374,7 +374,33 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
             || strftime(effective_datetime, '%Y-%m-%dT%H:%M:%S') || '+00:00'), 1, 4))::INTEGER
             AS h
         FROM queue
-        WHERE patient_id IS NOT NULL AND observation_code IS NOT NULL AND value IS NOT NULL
+        WHERE patient_id IS NOT NULL AND observation_code IS NOT NULL
+          AND (value IS NOT NULL OR value_str IS NOT NULL OR value_bool IS NOT NULL)
+        GROUP BY ALL
+        """,
+    ),
+    # Ready rows without a value; their instant is always there.
+    "unsendable": (
+        ("queue",),
+        """
+        SELECT * FROM queue
+        WHERE patient_id IS NOT NULL AND observation_code IS NOT NULL
+          AND value IS NULL AND value_str IS NULL AND value_bool IS NULL
+        """,
+    ),
+    # The scores of a cohort with gaps, one row per delivery key.
+    "score_keys": (
+        ("vitals", "registered"),
+        """
+        SELECT endpoint_patient_id AS patient_id, code, measured_at, count(*) AS occurrences,
+          ('0x' || substr(sha256('fhir:' || endpoint_patient_id || ':' || code || ':'
+            || CASE WHEN measured_at = date_trunc('second', measured_at)
+                    THEN strftime(measured_at, '%Y-%m-%dT%H:%M:%S')
+                    ELSE strftime(measured_at, '%Y-%m-%dT%H:%M:%S.%f') END
+            || '+00:00'), 1, 4))::INTEGER AS h
+        FROM vitals JOIN registered USING (patient_id),
+          (VALUES ('sepsis-risk-score'), ('sirs-score')) AS c(code)
+        WHERE event_id % 53 <> 0 AND event_id % 47 <> 0
         GROUP BY ALL
         """,
     ),
@@ -792,16 +818,17 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     ),
     "ledger_duplicates": (
         "ledger",
-        """SELECT idempotency_key, count(*) AS n_rows FROM ledger
-        GROUP BY 1 HAVING count(*) > 1""",
+        f"""SELECT {KEY}, count(*) AS n_rows FROM ledger
+        GROUP BY {KEY} HAVING count(*) > 1""",
     ),
     "validation_summary": (
         "queue ledger letters",
         """SELECT 'queued_observations' AS metric, count(*) AS n FROM queue
         UNION ALL SELECT 'log_rows', count(*) FROM ledger
-        UNION ALL SELECT 'distinct_idempotency_keys', count(DISTINCT idempotency_key) FROM ledger
+        UNION ALL SELECT 'distinct_idempotency_keys', count(*) FROM
+          (SELECT DISTINCT idempotency_key, ehr_system, api FROM ledger)
         UNION ALL SELECT 'duplicate_idempotency_keys', count(*) FROM
-          (SELECT 1 FROM ledger GROUP BY idempotency_key HAVING count(*) > 1)
+          (SELECT 1 FROM ledger GROUP BY idempotency_key, ehr_system, api HAVING count(*) > 1)
         UNION ALL SELECT 'dead_letter_rows', count(*) FROM letters""",
     ),
     "status_breakdown": (
@@ -859,23 +886,78 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     "ready_stream": (
         "queue",
         """SELECT patient_id, encounter_id, observation_code, code_system, display_name, value,
-          unit, effective_datetime, source_system, effective_datetime AS queued_at
+          value_str, value_bool, unit, effective_datetime, source_system, metadata_json,
+          effective_datetime AS queued_at
         FROM queue WHERE patient_id IS NOT NULL AND observation_code IS NOT NULL""",
     ),
     "delivery_job": (
-        "sent",
+        "sent unsendable",
         """SELECT succeeded, skipped, 0::BIGINT AS failed, dead_lettered,
           succeeded + skipped + dead_lettered AS total,
-          succeeded::DOUBLE / (succeeded + skipped + dead_lettered) AS success_rate
+          succeeded::DOUBLE / (succeeded + skipped + dead_lettered) AS success_rate,
+          (SELECT count(*) FROM unsendable) AS quarantined
         FROM (SELECT count(*) FILTER (won) AS succeeded,
           sum(occurrences - 1)::BIGINT AS skipped,
           count(*) FILTER (NOT won) AS dead_lettered FROM sent)""",
     ),
-    "delivery_rerun": (
+    "flowsheet_job": (
+        "sendable",
+        """SELECT idempotency_key, 'epic' AS ehr_system, 'flowsheet' AS api, patient_id,
+          CASE WHEN won THEN 'success' ELSE 'dead_lettered' END AS status,
+          NULL::VARCHAR AS ehr_resource_id,
+          CASE WHEN NOT won THEN 'HTTP 503: busy ' || (h % 7) END AS error_message
+        FROM (SELECT *, h % 11 <> 0 AND ((h * 31) % 10 < 6 OR (h * 31 + 17) % 10 < 6
+                                         OR (h * 31 + 34) % 10 < 6) AS won
+              FROM (SELECT * EXCLUDE h, ('0x' || substr(sha256('fs:' || patient_id || ':' || code
+                      || ':' || strftime(effective_datetime, '%Y-%m-%dT%H:%M:%S') || '+00:00'),
+                      1, 4))::INTEGER AS h FROM sendable))""",
+    ),
+    "two_system_report": (
+        "queue sendable",
+        """SELECT 'queued_observations' AS metric, count(*) AS n FROM queue
+        UNION ALL SELECT 'log_rows', 2 * count(*) FROM sendable
+        UNION ALL SELECT 'distinct_idempotency_keys', 2 * count(*) FROM sendable
+        UNION ALL SELECT 'duplicate_idempotency_keys', 0
+        UNION ALL SELECT 'dead_letter_rows', count(*) FROM (
+          SELECT unnest([h, ('0x' || substr(sha256('cerner:' || patient_id || ':' || code || ':'
+            || strftime(effective_datetime, '%Y-%m-%dT%H:%M:%S') || '+00:00'), 1, 4))::INTEGER]) AS h
+          FROM sendable)
+          WHERE NOT (h % 11 <> 0 AND ((h * 31) % 10 < 6 OR (h * 31 + 17) % 10 < 6
+                                      OR (h * 31 + 34) % 10 < 6))""",
+    ),
+    "limited_batch": (
         "sent",
+        """SELECT idempotency_key, 'generic_fhir' AS ehr_system, 'fhir' AS api, patient_id,
+          code AS observation_code, CASE WHEN won THEN 'success' ELSE 'dead_lettered' END AS status,
+          CASE WHEN NOT won OR (h * 31) % 10 >= 6 AND (h * 31 + 17) % 10 >= 6 THEN 2
+               WHEN (h * 31) % 10 >= 6 THEN 1 ELSE 0 END::INTEGER AS retry_count
+        FROM (SELECT * FROM sent ORDER BY effective_datetime, idempotency_key LIMIT 25)""",
+    ),
+    "quarantined_inputs": (
+        "unsendable",
+        """SELECT 'b1' AS batch_id, 'valid_value' AS failed_rules, count(*) AS n_rows
+        FROM unsendable HAVING count(*) > 0""",
+    ),
+    "score_delivery_job": (
+        "vitals score_keys registered",
+        """SELECT succeeded, skipped, 0::BIGINT AS failed, dead_lettered,
+          succeeded + skipped + dead_lettered AS total,
+          succeeded::DOUBLE / (succeeded + skipped + dead_lettered) AS success_rate,
+          (SELECT count(*) FROM vitals LEFT JOIN registered USING (patient_id)
+           WHERE event_id % 53 = 0 OR event_id % 47 = 0 OR endpoint_patient_id IS NULL)
+            AS quarantined
+        FROM (SELECT count(*) FILTER (won) AS succeeded,
+                sum(occurrences - 1)::BIGINT AS skipped,
+                count(*) FILTER (NOT won) AS dead_lettered
+              FROM (SELECT *, h % 11 <> 0 AND ((h * 31) % 10 < 6 OR (h * 31 + 17) % 10 < 6
+                                               OR (h * 31 + 34) % 10 < 6) AS won FROM score_keys))""",
+    ),
+    "delivery_rerun": (
+        "sent unsendable",
         """SELECT batch_id, distinct_keys, succeeded, skipped, 0::BIGINT AS failed, dead_lettered,
           succeeded + skipped + dead_lettered AS total,
-          succeeded::DOUBLE / (succeeded + skipped + dead_lettered) AS success_rate
+          succeeded::DOUBLE / (succeeded + skipped + dead_lettered) AS success_rate,
+          CASE batch_id WHEN 'b1' THEN (SELECT count(*) FROM unsendable) ELSE 0 END AS quarantined
         FROM (
           SELECT 'b1' AS batch_id, count(*) AS distinct_keys, count(*) FILTER (won) AS succeeded,
             sum(occurrences - 1)::BIGINT AS skipped, count(*) FILTER (NOT won) AS dead_lettered

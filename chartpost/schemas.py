@@ -37,14 +37,15 @@ def _schema(columns: str) -> T.StructType:
 
 QUEUE = _schema(
     """patient_id STRING, encounter_id STRING, observation_code STRING, code_system STRING,
-    display_name STRING, value DOUBLE, unit STRING, effective_datetime TIMESTAMP,
-    source_system STRING"""
+    display_name STRING, value DOUBLE, value_str STRING, value_bool BOOLEAN, unit STRING,
+    effective_datetime TIMESTAMP, source_system STRING, metadata_json STRING"""
 )
 
 READY = _schema(
     """patient_id STRING, encounter_id STRING, observation_code STRING, code_system STRING,
-    display_name STRING, value DOUBLE, unit STRING, effective_datetime TIMESTAMP,
-    source_system STRING, queued_at TIMESTAMP, queued_date DATE"""
+    display_name STRING, value DOUBLE, value_str STRING, value_bool BOOLEAN, unit STRING,
+    effective_datetime TIMESTAMP, source_system STRING, metadata_json STRING,
+    queued_at TIMESTAMP, queued_date DATE"""
 )
 
 OBSERVATION = _schema(
@@ -80,7 +81,7 @@ PATIENT_MEASUREMENTS = _schema(
 
 BATCHES = _schema(
     """batch_id STRING, succeeded BIGINT, skipped BIGINT, failed BIGINT, dead_lettered BIGINT,
-    total BIGINT, success_rate DOUBLE, finished_at TIMESTAMP"""
+    total BIGINT, success_rate DOUBLE, quarantined BIGINT, finished_at TIMESTAMP"""
 )
 
 CIRCUIT_SNAPSHOTS = _schema(
@@ -88,10 +89,10 @@ CIRCUIT_SNAPSHOTS = _schema(
     batch_id STRING"""
 )
 
+# Inputs that cannot be delivered, whatever their columns: row_json holds all of them.
 QUARANTINE = _schema(
-    """patient_id STRING, encounter_id STRING, observation_code STRING, code_system STRING,
-    display_name STRING, value DOUBLE, unit STRING, effective_datetime TIMESTAMP,
-    source_system STRING, queued_at TIMESTAMP, failed_rules STRING, batch_id STRING"""
+    """patient_id STRING, observation_code STRING, effective_datetime TIMESTAMP,
+    queued_at TIMESTAMP, failed_rules STRING, row_json STRING, row_hash BIGINT, batch_id STRING"""
 )
 
 # table -> (schema, partition columns)
@@ -99,9 +100,9 @@ TABLES = {
     "observations_queue": (QUEUE, ()),
     "observations_ready": (READY, ("queued_date",)),
     "attempt_log": (ATTEMPT_LOG, ("batch_id", "wave")),
-    "delivery_ledger": (LEDGER, ("effective_date",)),
-    "dead_letters": (DEAD_LETTER_EVENTS, ("event_date",)),
-    "delivery_batches": (BATCHES, ()),
-    "circuit_snapshots": (CIRCUIT_SNAPSHOTS, ()),
+    "delivery_ledger": (LEDGER, ("batch_id", "effective_date")),
+    "dead_letters": (DEAD_LETTER_EVENTS, ("batch_id", "event")),
+    "delivery_batches": (BATCHES, ("batch_id",)),
+    "circuit_snapshots": (CIRCUIT_SNAPSHOTS, ("batch_id",)),
     "quarantine": (QUARANTINE, ("batch_id",)),
 }

@@ -54,9 +54,16 @@ def routes(spark: SparkSession, listed: tuple[Route, ...] = ROUTES) -> DataFrame
     return spark.range(1, numPartitions=1).select(rows.alias("route")).select("route.*")
 
 
+def check_route(ehr_system: str, api: str, listed: tuple[Route, ...] = ROUTES) -> None:
+    """Refuse a pair that is not listed, before anything is read or sent."""
+    if not any((route.ehr_system, route.api) == (ehr_system, api) for route in listed):
+        known = ", ".join(f"{route.ehr_system}/{route.api}" for route in listed)
+        raise ValueError(f"no route {ehr_system}/{api}; known: {known}")
+
+
 def with_route(df: DataFrame, listed: tuple[Route, ...] = ROUTES) -> DataFrame:
-    """Resolve (ehr_system, api); rows of an unknown route are dropped by the join.
+    """Resolve (ehr_system, api); a row of an unknown route keeps null route columns.
 
     The broadcast side is the literal list above, so its size does not depend on data.
     """
-    return df.join(F.broadcast(routes(df.sparkSession, listed)), ["ehr_system", "api"])
+    return df.join(F.broadcast(routes(df.sparkSession, listed)), ["ehr_system", "api"], "left")

@@ -72,11 +72,26 @@ def batch_path(workspace: Workspace, table: str, **partition: object) -> str:
 
 
 def replace_batch(df: DataFrame, workspace: Workspace, table: str, **partition: object) -> None:
-    """Write one partition as a whole, so that a repeated run leaves it once."""
-    names = [f for f in TABLES[table][0].fields if f.name not in partition]
-    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in names]).write.mode(
-        "overwrite"
-    ).parquet(batch_path(workspace, table, **partition))
+    """Write one partition as a whole, with a completion marker in its folder.
+
+    A run that stopped halfway leaves no marker, so the next one writes the whole
+    partition again and it is there once.
+    """
+    schema, partitions = TABLES[table]
+    names = [f for f in schema.fields if f.name not in partition]
+    inner = [name for name in partitions if name not in partition]
+    rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in names])
+    if inner:
+        rows = rows.hint("rebalance", *inner)
+    rows.write.mode("overwrite").partitionBy(*inner).parquet(batch_path(workspace, table, **partition))
+
+
+def write_once(
+    spark: SparkSession, df: DataFrame, workspace: Workspace, table: str, **partition: object
+) -> None:
+    """``replace_batch``, unless an earlier run has finished the partition."""
+    if not is_complete(spark, batch_path(workspace, table, **partition)):
+        replace_batch(df, workspace, table, **partition)
 
 
 def demo_rows(index: DataFrame, column: str = "index") -> DataFrame:

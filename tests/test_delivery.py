@@ -3,6 +3,7 @@
 import json
 import os
 import shutil
+from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from chartpost.operators.dead_letters import pending_letters
 from chartpost.operators.delivery import http_transport
 from chartpost.operators.ledger import current_ledger
+from chartpost.operators.normalize import to_observations
 from chartpost.operators.outcomes import CIRCUIT_OPEN
 from chartpost.plans.jobs import (
     Endpoint,
     compact_ledger,
+    deliver_observations,
     reprocess_dead_letters,
     reprocess_endpoint,
     run_delivery_batch,
@@ -29,9 +32,9 @@ AT = datetime(2025, 6, 15, 10, 30, tzinfo=timezone.utc)
 BASE = "https://fhir.example"
 
 
-def ready(spark, workspace, patients, value=42.0):
+def ready(spark, workspace, patients, value=42.0, typed=(None, None)):
     rows = [
-        (p, None, "59408-5", None, "SpO2", value, "%", AT, None, AT + timedelta(seconds=n), AT.date())
+        (p, None, "59408-5", None, "SpO2", value, *typed, "%", AT, None, None, AT + timedelta(seconds=n), AT.date())
         for n, p in enumerate(patients)
     ]
     append_rows(spark.createDataFrame(rows, READY), workspace, "observations_ready")
@@ -323,8 +326,130 @@ def test_score_and_deliver(spark, workspace, calls):
         [("p1", "f1"), ("p2", "f2")], "patient_id STRING, endpoint_patient_id STRING"
     )
     row = score_and_deliver(spark, workspace, measured, known, endpoint(calls), "s1").first()
-    assert row.succeeded == 4
+    assert (row.succeeded, row.quarantined) == (4, 1)
     assert sorted({c.split()[0] for c in sent(calls)}) == ["f1", "f2"]
+    aside = read_table(spark, workspace, "quarantine").first()
+    assert (aside.patient_id, aside.failed_rules) == ("p3", "mapped_patient")
+    assert json.loads(aside.row_json)["lactate"] == 1.0
+
+
+def test_no_measurement_is_lost(spark, workspace, calls):
+    fine = (37.0, 70, 15, 120, 80, 98.0, 7.0, 1.0, 1.0, 200)
+    broken = (37.0, None, 15, 120, 80, 98.0, float("nan"), 1.0, 1.0, 200)
+    rows = [(p, "A B", 50, *fine, None) for p in ("p1", "p2", "p3")]
+    rows += [("p1", "A B", 50, *broken, AT), (None, "A B", 50, *fine, AT), ("p1", "A B", 50, *fine, AT)]
+    measured = spark.createDataFrame(rows, PATIENT_MEASUREMENTS)
+    known = spark.createDataFrame([("p1", "f1")], "patient_id STRING, endpoint_patient_id STRING")
+    row = score_and_deliver(spark, workspace, measured, known, endpoint(calls), "s1").first()
+    assert (row.total, row.succeeded, row.quarantined) == (2, 2, 5)
+    reasons = sorted(r.failed_rules for r in read_table(spark, workspace, "quarantine").collect())
+    assert reasons == ["valid_measured_at"] * 3 + ["valid_patient", "valid_wbc_count,valid_heart_rate"]
+
+
+def test_observations_without_a_key_are_put_aside(spark, workspace, calls):
+    rows = spark.createDataFrame(
+        [("P1", "c", 1.0, AT), ("P2", "c", 1.0, None), ("P3", None, 1.0, AT), (None, "c", 1.0, AT), ("P4", "c", None, AT)],
+        "patient_id STRING, observation_code STRING, value DOUBLE, effective_datetime TIMESTAMP",
+    )
+    blank = ("encounter_id", "code_system", "display_name", "unit", "source_system")
+    rows = rows.withColumns({name: F.lit(None).cast("string") for name in blank})
+    observations = to_observations(rows).withColumn("queued_at", F.lit(AT))
+    row = deliver_observations(spark, workspace, observations, endpoint(calls), "b1").first()
+    assert (row.succeeded, row.total, row.quarantined) == (1, 1, 4)
+
+
+def test_texts_and_booleans_are_sent_as_such(spark, workspace, tmp_path):
+    bodies = str(tmp_path / "bodies")
+
+    def open_transport():
+        def send(url, headers, body):
+            with open(bodies, "a") as log:
+                log.write(body + "\n")
+            return 201, '{"id":"x"}'
+
+        return send
+
+    ready(spark, workspace, ["P1"], value=None, typed=("high", None))
+    ready(spark, workspace, ["P2"], value=None, typed=(None, True))
+    target = Endpoint("generic_fhir", "fhir", BASE, open_transport, sleep=lambda s: None)
+    assert run_delivery_batch(spark, workspace, target, "b1").first().succeeded == 2
+    sent_values = [json.loads(line) for line in open(bodies)]
+    assert {v.get("valueString") for v in sent_values} == {"high", None}
+    assert {v.get("valueBoolean") for v in sent_values} == {True, None}
+
+
+def test_unknown_route_is_refused(spark, workspace, calls):
+    ready(spark, workspace, ["P1"])
+    with pytest.raises(ValueError, match="no route epic/flow"):
+        run_delivery_batch(spark, workspace, replace(endpoint(calls), ehr_system="epic", api="flow"), "b1")
+    assert read_table(spark, workspace, "delivery_batches").count() == 0
+
+
+def test_limit_stores_only_what_it_sends(spark, workspace, calls):
+    ready(spark, workspace, [f"P{n}" for n in range(60)])
+    run_delivery_batch(spark, workspace, endpoint(calls), "b1", limit=20)
+    row = run_delivery_batch(spark, workspace, endpoint(calls), "b2", limit=10).first()
+    assert (row.succeeded, row.skipped) == (10, 20)
+    stored = spark.read.parquet(workspace.path("plans/b2/classified"))
+    assert stored.where("outcome = 'new'").count() == 10
+    assert stored.where("outcome <> 'new'").count() == 1
+
+
+def test_quarantine_does_not_grow_with_reruns(spark, workspace, calls):
+    ready(spark, workspace, [f"P{n}" for n in range(7)], value=None)
+    assert run_delivery_batch(spark, workspace, endpoint(calls), "b1").first().quarantined == 7
+    ready(spark, workspace, ["P9"], value=float("inf"))
+    assert run_delivery_batch(spark, workspace, endpoint(calls), "b2").first().quarantined == 1
+    assert read_table(spark, workspace, "quarantine").count() == 8
+
+
+def test_half_written_ledger_is_written_again(spark, workspace, calls):
+    """Files of a commit that died are no ledger; the restart writes all rows, sends none."""
+    ready(spark, workspace, [f"P{n}" for n in range(12)])
+    run_delivery_batch(spark, workspace, endpoint(calls), "b1")
+    folder = workspace.path("delivery_ledger/batch_id=b1")
+    shutil.rmtree(workspace.path("delivery_batches/batch_id=b1"))
+    os.remove(f"{folder}/_SUCCESS")
+    files = [os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
+    os.remove(files[0])
+    row = run_delivery_batch(spark, workspace, endpoint(calls), "b1").first()
+    assert row.succeeded == 12 and len(sent(calls)) == 12
+    assert ledger(spark, workspace).count() == 12
+
+
+def test_a_token_is_renewed_between_requests(spark, workspace, calls, tmp_path):
+    tickets = str(tmp_path / "tickets")
+
+    def provider():
+        with open(tickets, "a") as log:
+            log.write("x")
+        return f"t{os.path.getsize(tickets)}"
+
+    ready(spark, workspace, ["P1", "P2", "P3"])
+    run_delivery_batch(spark, workspace, endpoint(calls, token_provider=provider, max_concurrency=1), "b1")
+    assert sorted(c.split()[2] for c in sent(calls)) == ["t1", "t2", "t3"]
+
+
+def test_completion_markers_must_stay_on(spark, workspace, calls):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        with pytest.raises(RuntimeError, match="markers"):
+            run_delivery_batch(spark, workspace, endpoint(calls), "b1")
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_unreadable_letters_are_put_aside_once(spark, workspace, calls):
+    ready(spark, workspace, ["P1"])
+    run_delivery_batch(spark, workspace, endpoint(calls, always_fail=True, circuit=None), "b1")
+    letters = read_table(spark, workspace, "dead_letters")
+    broken = letters.withColumns({"observation_json": F.lit("{"), "batch_id": F.lit("b0"), "idempotency_key": F.lit("k")})
+    append_rows(broken, workspace, "dead_letters")
+    for batch_id in ("r1", "r2"):
+        reprocess_dead_letters(spark, workspace, endpoint(calls, circuit=None), batch_id)
+    aside = read_table(spark, workspace, "quarantine").collect()
+    assert [r.failed_rules for r in aside] == ["readable_letter"]
 
 
 def test_reports_and_compaction(spark, workspace, calls):

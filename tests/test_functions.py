@@ -150,7 +150,7 @@ def test_flowsheet(spark):
 
 def test_defaults_replace_empty_text(spark):
     queue = spark.createDataFrame(
-        [("P", None, "c", "", "", 1.0, None, AT, "")], QUEUE
+        [("P", None, "c", "", "", 1.0, None, None, None, AT, "", None)], QUEUE
     )
     row = to_observations(queue, default_source="me").first()
     assert (row.code_system, row.display_name, row.source_system) == ("http://loinc.org", "c", "me")

@@ -173,15 +173,14 @@ def test_first_rows_both_ways(spark, n):
         assert sorted(map(tuple, got.collect())) == want
 
 
-def test_dates_beyond_the_bound_read_the_whole_ledger(spark, monkeypatch):
-    rows = [("a", START, 1, "success"), ("b", START + timedelta(days=3), 2, "success")]
+def test_only_the_dates_of_the_batch_are_read(spark):
+    rows = [(str(n), START + timedelta(days=n), n, "success") for n in range(40)]
     events = ledger_frame(spark, rows)
-    assert ledger.prune_dates(events, events.where("seq = 1")).count() == 1
-    monkeypatch.setattr(ledger, "MAX_PRUNED_DATES", 0)
-    assert ledger.prune_dates(events, events.where("seq = 1")).count() == 2
+    assert ledger.prune_dates(events, events.where("seq < 30")).count() == 30
+    assert ledger.prune_dates(events, events.where("seq < 0")).count() == 0
 
 
-def test_delivered_keys_within_and_beyond_the_bound(spark, monkeypatch):
+def test_delivered_keys(spark):
     rows = [("a", START, 1, "success"), ("b", START, 2, "success"), ("c", START, 3, "success")]
     rows.append(("b", START + timedelta(seconds=1), 4, "dead_lettered"))
     events = ledger_frame(spark, rows)
@@ -192,8 +191,6 @@ def test_delivered_keys_within_and_beyond_the_bound(spark, monkeypatch):
         return {r.idempotency_key for r in kept.collect()}
 
     assert found() == {"a"}
-    monkeypatch.setattr(ledger, "MAX_BROADCAST_ROWS", 0)
-    assert found() == {"a"}
 
 
 def test_pending_letters_and_flags(spark):
@@ -226,16 +223,6 @@ def test_pending_letters_and_flags(spark):
     ]
 
 
-def test_broadcast_only_within_the_bound(spark):
-    df = spark.range(50)
-
-    def hinted(side):
-        return "ResolvedHint" in side._jdf.queryExecution().analyzed().toString()
-
-    assert hinted(skew.broadcast_if_small(df, 50))
-    assert not hinted(skew.broadcast_if_small(df, 49))
-
-
 def test_reconcile_keeps_rows_without_id(spark):
     schema = (
         "ehr_resource_id STRING, code_system STRING, code STRING, value_num DOUBLE, "
