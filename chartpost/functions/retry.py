@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chartpost.policies import RetryPolicy
+from chartpost.policies import Retries
 
 
-def backoff_seconds(attempt: Column, policy: RetryPolicy) -> Column:
-    """Delay after the given attempt, capped."""
-    raw = F.lit(policy.base_delay_seconds) * F.pow(F.lit(policy.exponential_base), attempt)
-    return F.least(raw, F.lit(policy.max_delay_seconds))
+def backoff_seconds(attempt: Column, policy: Retries) -> Column:
+    """Wait after the given attempt; the last wait of the list holds from there on."""
+    waits = F.array(*map(F.lit, policy.waits))
+    return F.element_at(waits, F.least(attempt.cast("int") + 1, F.lit(len(policy.waits))))
 
 
 def plus_seconds(ts: Column, seconds: Column) -> Column:

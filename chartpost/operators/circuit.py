@@ -6,18 +6,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartpost.operators.skew import CHUNK, in_ordered_chunks
-from chartpost.policies import CircuitPolicy
+from chartpost.policies import Breaker
 from chartpost.session import cut_lineage
 
 ORDER = ["attempted_at", "seq"]
 
 
-def _state(failures: Column, last_failure: Column, now: Column, policy: CircuitPolicy) -> Column:
+def _state(failures: Column, last_failure: Column, now: Column, policy: Breaker) -> Column:
     """closed below the threshold, else open until the recovery time has passed."""
     waited = F.unix_micros(now) - F.unix_micros(last_failure)
-    recovery = F.lit(round(policy.recovery_timeout_seconds * 1_000_000))
+    recovery = F.lit(round(policy.rest_seconds * 1_000_000))
     return (
-        F.when(failures < policy.failure_threshold, F.lit("closed"))
+        F.when(failures < policy.limit, F.lit("closed"))
         .when(waited < recovery, F.lit("open"))
         .otherwise(F.lit("half_open"))
     )
@@ -57,7 +57,7 @@ def circuit_tail(attempts: DataFrame) -> DataFrame:
 
 
 def with_state(
-    counts: DataFrame, as_of: Column, policy: CircuitPolicy = CircuitPolicy()
+    counts: DataFrame, as_of: Column, policy: Breaker = Breaker()
 ) -> DataFrame:
     """Counts per endpoint with the state they mean at ``as_of``."""
     state = _state(F.col("failures"), F.col("last_failure_at"), as_of, policy)
@@ -65,7 +65,7 @@ def with_state(
 
 
 def circuit_state(
-    attempts: DataFrame, as_of: Column, policy: CircuitPolicy = CircuitPolicy()
+    attempts: DataFrame, as_of: Column, policy: Breaker = Breaker()
 ) -> DataFrame:
     """One row per endpoint of the log: failures since its last success, and its state."""
     return with_state(circuit_tail(attempts), as_of, policy)
@@ -100,7 +100,7 @@ def latest_counts(snapshots: DataFrame) -> DataFrame:
 
 
 def circuit_history(
-    attempts: DataFrame, policy: CircuitPolicy = CircuitPolicy(), chunks: int | None = None
+    attempts: DataFrame, policy: Breaker = Breaker(), chunks: int | None = None
 ) -> DataFrame:
     """State in force just before every attempt.
 

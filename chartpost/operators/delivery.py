@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartpost.operators.outcomes import CIRCUIT_OPEN
-from chartpost.policies import CircuitPolicy, RetryPolicy
+from chartpost.policies import Breaker, Retries
 from chartpost.schemas import ATTEMPT_LOG
 from chartpost.session import ship_package
 
@@ -59,10 +59,10 @@ class _EndpointHealth:
     failures: int
     last_failure: float
 
-    def is_open(self, policy: CircuitPolicy, now: float) -> bool:
+    def is_open(self, policy: Breaker, now: float) -> bool:
         return (
-            self.failures >= policy.failure_threshold
-            and now - self.last_failure < policy.recovery_timeout_seconds
+            self.failures >= policy.limit
+            and now - self.last_failure < policy.rest_seconds
         )
 
     def record(self, ok: bool, now: float) -> None:
@@ -91,8 +91,8 @@ LOGGED_ROWS = 500
 def deliver(
     requests: DataFrame,
     open_transport: OpenTransport,
-    retry: RetryPolicy = RetryPolicy(),
-    circuit: CircuitPolicy | None = CircuitPolicy(),
+    retry: Retries = Retries(),
+    circuit: Breaker | None = Breaker(),
     token: str | Callable[[], str] = "",
     sleep: Callable[[float], None] = time.sleep,
     clock: Callable[[], float] = time.time,
@@ -104,7 +104,7 @@ def deliver(
     and endpoint, starting from the state the rows bring along.  A token provider is
     asked on the executor before each request, so that it may renew what expires.
     """
-    delays = retry.delays()
+    delays = retry.schedule()
     ship_package(requests.sparkSession)
 
     def send_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +139,7 @@ def deliver(
                 return
             headers = dict(request["headers"])
             headers["X-Request-Id"] = request["request_id"]
-            for attempt in range(retry.max_retries + 1):
+            for attempt in range(retry.times + 1):
                 bearer = token() if callable(token) else token
                 if bearer:
                     headers["Authorization"] = f"Bearer {bearer}"
@@ -160,13 +160,9 @@ def deliver(
                     transport_error=error,
                     ok=ok,
                 )
-                if ok or attempt == retry.max_retries:
+                if ok or attempt == retry.times:
                     return
-                if (
-                    status is not None
-                    and retry.retryable_status is not None
-                    and status not in retry.retryable_status
-                ):
+                if not retry.again(status):
                     return
                 sleep(delays[attempt])
                 if circuit and state.is_open(circuit, clock()):

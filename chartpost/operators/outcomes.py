@@ -13,7 +13,7 @@ from chartpost.functions.retry import (
     resource_id,
 )
 from chartpost.operators.dedup import GATED
-from chartpost.policies import RetryPolicy
+from chartpost.policies import Retries
 from chartpost.schemas import DEAD_LETTERED, DELIVERY_KEY, FAILED, SUCCESS
 from chartpost.sources.routes import ROUTES, Route, with_route
 
@@ -107,14 +107,14 @@ def dead_letter_outcomes(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("status") == DEAD_LETTERED)
 
 
-def retry_schedule(first_failures: DataFrame, policy: RetryPolicy) -> DataFrame:
+def retry_schedule(first_failures: DataFrame, policy: Retries) -> DataFrame:
     """Every retry a failing key may still get, with its delay and due time.
 
     The policy is a driver-side constant, so the running sum is a literal per
     attempt and no shuffle is needed.
     """
     steps, total = [], 0.0
-    for attempt, delay in enumerate(policy.delays()):
+    for attempt, delay in enumerate(policy.schedule()):
         total += delay
         steps.append(
             F.struct(

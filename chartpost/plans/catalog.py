@@ -37,7 +37,7 @@ from chartpost.plans.jobs import (
     validate_run,
 )
 from chartpost.plans.scripted import scripted_transport
-from chartpost.policies import CircuitPolicy, RetryPolicy
+from chartpost.policies import Breaker, Retries
 from chartpost.schemas import DELIVERY_KEY, QUEUE
 from chartpost.session import prepare_session, shared_dir
 from chartpost.sources.routes import with_route
@@ -212,7 +212,7 @@ def delivery_attempts(spark, d):
     """Every attempt of sending the folded batch to a scripted endpoint."""
     requests = delivery.spread_requests(_requests(spark, d), 5)
     log = delivery.deliver(
-        requests, scripted_transport(), RetryPolicy(), circuit=None, sleep=_no_wait
+        requests, scripted_transport(), Retries(), circuit=None, sleep=_no_wait
     )
     return log.select(
         *KEY, "endpoint", "attempt", "http_status", "body", "ok", "effective_date"
@@ -474,7 +474,7 @@ def fahrenheit_values(spark, d):
 @query
 def backoff_delays(spark, d):
     """C17: the delay that follows each logged attempt."""
-    policy = RetryPolicy()
+    policy = Retries()
     log = b.attempts(spark, d)
     return log.select(
         "event_id",
@@ -527,7 +527,7 @@ def folded_batch(spark, d):
 
 
 AS_OF = "2024-01-31 00:00:00"
-GATE_POLICY = CircuitPolicy(failure_threshold=2, recovery_timeout_seconds=20 * 86400.0)
+GATE_POLICY = Breaker(limit=2, rest_seconds=20 * 86400.0)
 
 
 def _classified(spark: SparkSession, d: str) -> DataFrame:
@@ -619,13 +619,13 @@ def retry_schedule(spark, d):
     """due times after a failed first attempt."""
     first = b.attempts(spark, d).where((F.col("attempt") == 0) & ~F.col("ok"))
     kept = first.select("idempotency_key", "attempted_at")
-    return outcomes.retry_schedule(kept, RetryPolicy(max_retries=6))
+    return outcomes.retry_schedule(kept, Retries(times=6))
 
 
 @query
 def circuit_history(spark, d):
     """circuit state before every attempt."""
-    policy = CircuitPolicy(failure_threshold=5, recovery_timeout_seconds=3600.0)
+    policy = Breaker(limit=5, rest_seconds=3600.0)
     return circuit.circuit_history(b.attempts(spark, d), policy)
 
 

@@ -55,7 +55,7 @@ from chartpost.operators.reports import (
     status_counts,
     validation_summary,
 )
-from chartpost.policies import BATCH_RETRY, REPROCESS_RETRY, CircuitPolicy, RetryPolicy
+from chartpost.policies import BATCH_RETRY, REPROCESS_RETRY, Breaker, Retries
 from chartpost.schemas import DEAD_LETTERED, DELIVERY_KEY, OBSERVATION, REPROCESSED, SUCCESS
 from chartpost.session import prepare_session
 from chartpost.sources.routes import ROUTES, Route, check_route
@@ -95,8 +95,8 @@ class Endpoint:
     token_provider: Callable[[], str] = lambda: ""
     max_concurrency: int = 5
     max_rows_per_wave: int = 500_000
-    retry: RetryPolicy = BATCH_RETRY
-    circuit: CircuitPolicy | None = field(default_factory=CircuitPolicy)
+    retry: Retries = BATCH_RETRY
+    circuit: Breaker | None = field(default_factory=Breaker)
     sleep: Callable[[float], None] = time.sleep
     routes: tuple[Route, ...] = ROUTES
 
@@ -252,7 +252,7 @@ def _run_plan(
             F.col("batch_id") == batch_id
         )
         resolved = resolve_attempts(
-            classify_responses(attempts, endpoint.routes), endpoint.retry.max_retries
+            classify_responses(attempts, endpoint.routes), endpoint.retry.times
         ).unionByName(gated_outcomes(to_send))
         observed = to_send.select(*DELIVERY_KEY, "effective_date", *OBSERVATION.fieldNames())
         resolved.join(observed, list(DELIVERY_KEY)).withColumn(

@@ -24,7 +24,7 @@ from chartpost.plans.jobs import (
     score_and_deliver,
     validate_run,
 )
-from chartpost.policies import CircuitPolicy, RetryPolicy
+from chartpost.policies import Breaker, Retries
 from chartpost.schemas import PATIENT_MEASUREMENTS, READY
 from chartpost.sources.tables import Workspace, append_rows, ensure_tables, read_table
 
@@ -57,7 +57,7 @@ def endpoint(calls, fail_first=0, always_fail=False, status=503, **settings):
 
         return send
 
-    defaults = {"retry": RetryPolicy(), "sleep": lambda seconds: None}
+    defaults = {"retry": Retries(), "sleep": lambda seconds: None}
     return Endpoint("generic_fhir", "fhir", BASE, open_transport, **{**defaults, **settings})
 
 
@@ -113,7 +113,7 @@ def test_retry_then_success(spark, workspace, calls):
 
 def test_exhausted(spark, workspace, calls):
     ready(spark, workspace, ["P100"])
-    settings = {"circuit": CircuitPolicy(failure_threshold=100)}
+    settings = {"circuit": Breaker(limit=100)}
     row = run_delivery_batch(
         spark, workspace, endpoint(calls, always_fail=True, **settings), "b1"
     ).first()
@@ -130,8 +130,8 @@ def test_circuit_opens(spark, workspace, calls):
     failing = endpoint(
         calls,
         always_fail=True,
-        retry=RetryPolicy(max_retries=1),
-        circuit=CircuitPolicy(failure_threshold=3),
+        retry=Retries(times=1),
+        circuit=Breaker(limit=3),
         max_concurrency=1,
     )
     row = run_delivery_batch(spark, workspace, failing, "b1").first()
@@ -147,12 +147,12 @@ def test_circuit_opens(spark, workspace, calls):
 
 def test_open_circuit_gates_the_next_batch(spark, workspace, calls):
     ready(spark, workspace, ["P1", "P2"])
-    failing = endpoint(calls, always_fail=True, circuit=CircuitPolicy(failure_threshold=3))
+    failing = endpoint(calls, always_fail=True, circuit=Breaker(limit=3))
     run_delivery_batch(spark, workspace, failing, "b1")
     n = len(sent(calls))
     row = run_delivery_batch(spark, workspace, endpoint(calls), "b2").first()
     assert row.dead_lettered == 2 and len(sent(calls)) == n
-    recovered = endpoint(calls, circuit=CircuitPolicy(recovery_timeout_seconds=0.0))
+    recovered = endpoint(calls, circuit=Breaker(rest_seconds=0.0))
     assert run_delivery_batch(spark, workspace, recovered, "b3").first().succeeded == 2
 
 
@@ -201,7 +201,7 @@ def test_token_reaches_the_request_only(spark, workspace, calls):
 
 def test_not_retryable_status(spark, workspace, calls):
     ready(spark, workspace, ["P1"])
-    policy = RetryPolicy(retryable_status=frozenset({503}))
+    policy = Retries(statuses=frozenset({503}))
     run_delivery_batch(
         spark, workspace, endpoint(calls, always_fail=True, status=400, retry=policy), "b1"
     )
@@ -278,8 +278,8 @@ def test_circuit_opened_by_one_wave_holds_back_the_next(spark, workspace, calls)
     failing = endpoint(
         calls,
         always_fail=True,
-        retry=RetryPolicy(max_retries=0),
-        circuit=CircuitPolicy(failure_threshold=2),
+        retry=Retries(times=0),
+        circuit=Breaker(limit=2),
         max_rows_per_wave=2,
         max_concurrency=1,
     )

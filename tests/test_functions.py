@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from chartpost.functions import payloads, retry, scoring, text, values
 from chartpost.functions.keys import idempotency_key
 from chartpost.operators.normalize import to_observations, with_key, with_request
-from chartpost.policies import RetryPolicy
+from chartpost.policies import Retries
 from chartpost.schemas import QUEUE
 
 AT = datetime(2025, 6, 15, 10, 30, tzinfo=timezone.utc)
@@ -181,9 +181,9 @@ def test_broken_json_is_null(spark, broken):
 
 def test_backoff(spark):
     attempts = spark.createDataFrame([(n,) for n in (0, 1, 2, 3, 10)], "n INT")
-    got = attempts.select(retry.backoff_seconds(F.col("n"), RetryPolicy()).alias("s")).collect()
+    got = attempts.select(retry.backoff_seconds(F.col("n"), Retries()).alias("s")).collect()
     assert [r.s for r in got] == [1.0, 2.0, 4.0, 8.0, 30.0]
-    assert RetryPolicy(max_retries=6).delays() == [1.0, 2.0, 4.0, 8.0, 16.0, 30.0]
+    assert Retries(times=6).schedule() == [1.0, 2.0, 4.0, 8.0, 16.0, 30.0]
 
 
 MEASURED = (

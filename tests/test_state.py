@@ -7,11 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from chartpost.operators import circuit, dead_letters, dedup, ledger, readback, skew
-from chartpost.policies import CircuitPolicy
+from chartpost.policies import Breaker
 from chartpost.schemas import DEAD_LETTER_EVENTS, LEDGER
 
 START = datetime(2025, 1, 1, tzinfo=timezone.utc)
-POLICY = CircuitPolicy(failure_threshold=3, recovery_timeout_seconds=20.0)
+POLICY = Breaker(limit=3, rest_seconds=20.0)
 
 
 class Breaker:
@@ -21,10 +21,10 @@ class Breaker:
         self.failures, self.last = 0, None
 
     def state(self, now):
-        if self.failures < POLICY.failure_threshold:
+        if self.failures < POLICY.limit:
             return "closed"
         waited = (now - self.last).total_seconds()
-        return "open" if waited < POLICY.recovery_timeout_seconds else "half_open"
+        return "open" if waited < POLICY.rest_seconds else "half_open"
 
     def record(self, ok, now):
         if ok:
