@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chartpost.operators.skew import plain_side
+
 RESOURCE_SCHEMA = """
     resourceType STRING, id STRING, status STRING,
     code STRUCT<coding: ARRAY<STRUCT<system: STRING, code: STRING, display: STRING>>, text: STRING>,
@@ -48,12 +50,13 @@ def reconcile(sent: DataFrame, stored: DataFrame) -> DataFrame:
     Rows without an id match nothing; they skip the join instead of all meeting in
     the one partition nulls hash to.  The full outer join is written as a left join
     and an anti join against the folded ids, because adaptive execution can split a
-    repeated id in those two only.
+    repeated id in those two only.  Each side feeds three branches, so its id and
+    compared fields are stored once, and no payload is built or parsed again.
     """
     id_name = "ehr_resource_id"
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(id_name, F.struct(*COMPARED).alias(name))
+        return plain_side(df.select(id_name, F.struct(*COMPARED).alias(name)))
 
     left, right = side(sent, "sent"), side(stored, "stored")
     has_id = F.col(id_name).isNotNull()
