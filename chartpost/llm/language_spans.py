@@ -47,6 +47,17 @@ def letters() -> np.ndarray:
     return table
 
 
+@lru_cache(maxsize=1)
+def small_letters() -> np.ndarray:
+    """Lower case of each code point, itself where that is not one code point."""
+    table = np.arange(0x110000, dtype=np.uint32)
+    for code in range(0x110000):
+        low = chr(code).lower()
+        if len(low) == 1:
+            table[code] = ord(low)
+    return table
+
+
 @dataclass
 class Words:
     """Words of one text: letters' counters, where words begin, their scripts and sizes."""
@@ -59,8 +70,8 @@ class Words:
 
 
 def words_of(text: str) -> Words | None:
-    """Runs of letters of the lower-cased text; None without any."""
-    codes = np.frombuffer(text.lower().encode("utf-32-le"), "<u4")
+    """Runs of letters of the text, in lower case; None without any."""
+    codes = small_letters()[np.frombuffer(text.encode("utf-32-le"), "<u4")]
     script = letters()[codes]
     inside = script != 255
     if not inside.any():

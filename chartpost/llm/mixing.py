@@ -231,4 +231,8 @@ def mixed_documents(
     """The documents with all their columns, once per copy drawn; see ``mix``."""
     session(documents.sparkSession)
     _, plan = plan_mix(documents, target, budget, seed, source)
-    return _drawn(documents, plan, source, seed).select(*documents.columns)
+    # Held together, so that no column of theirs can clash with the plan's.
+    rows = documents.select(
+        F.col("doc_id").cast("long"), F.col(source).alias("source"), F.struct(*documents.columns).alias("_row")
+    )
+    return _drawn(rows, plan, "source", seed).select("_row.*")

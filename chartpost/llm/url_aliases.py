@@ -48,6 +48,9 @@ def rule_of(rules: Sequence[Rule], host: str, path: str) -> Column:
     """
     if len(rules) > MAX_RULES:
         raise ValueError(f"at most {MAX_RULES} rules")
+    none = F.lit(None).cast("struct<size:int,rule:string,verdict:string>")
+    if not rules:
+        return none
     fitting = [
         F.when(
             ((F.col(host) == rule.host) | F.endswith(F.col(host), F.lit("." + rule.host)))
@@ -56,7 +59,7 @@ def rule_of(rules: Sequence[Rule], host: str, path: str) -> Column:
         )
         for rule in rules
     ]
-    return F.greatest(*fitting, F.lit(None).cast("struct<size:int,rule:string,verdict:string>"), fitting[0])
+    return F.greatest(*fitting, none)
 
 
 def key_of(url: str) -> Column:

@@ -227,6 +227,9 @@ def test_spans_of_mixed_text(spark, monkeypatch):
     spans = language_spans.spans_of(text, model)
     assert [model.languages[s[2]] for s in spans] == ["en", "ru", "de"]
     assert spans[1][:2] == (len(parts[0]) + 2, len(parts[0]) + 2 + len(parts[1]))
+    # Lower case may be longer than the letter; places stay those of the text.
+    turned = "İİİİ. " + parts[1]
+    assert language_spans.spans_of(turned, model)[-1][:2] == (6, 6 + len(parts[1]))
     # A script narrows the candidates: no Latin language for a Cyrillic word.
     words = language_spans.words_of("человек")
     assert model.scripts[words.scripts[0]].tolist() == [lang == "ru" for lang in model.languages]

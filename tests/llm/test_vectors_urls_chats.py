@@ -109,6 +109,11 @@ def test_no_pages(spark):
     assert judge_urls(spark.createDataFrame([], "page_id long, url string, html string"), RULES).count() == 0
 
 
+def test_no_rules(spark):
+    table = spark.createDataFrame([(1, "http://a.net/x", None)], "page_id long, url string, html string")
+    assert [tuple(r) for r in judge_urls(table, ()).collect()] == [(1, "a.net", "/x", None, "allow")]
+
+
 def test_rules_are_bounded():
     with pytest.raises(ValueError, match="at most"):
         url_aliases.rule_of([RULES[0]] * 1001, "h", "p")
@@ -116,7 +121,7 @@ def test_rules_are_bounded():
 
 # --- mixing ---------------------------------------------------------------------------
 
-MIX_SCHEMA = "doc_id long, text string, source string, n_tokens string, pass string"
+MIX_SCHEMA = "doc_id long, text string, source string, weight string, pass string"
 
 
 def mix_rows():
@@ -196,6 +201,7 @@ def test_mixed_documents_keep_their_columns(spark):
     copies = mix(table, Target(0.95, 2.0)).groupBy("doc_id").count().collect()
     out = mixed_documents(table, Target(0.95, 2.0))
     assert out.columns == table.columns
+    assert {tuple(r) for r in out.collect()} <= set(mix_rows())
     assert sorted(((r.doc_id, r["count"]) for r in out.groupBy("doc_id").count().collect()), key=repr) == sorted(((r.doc_id, r["count"]) for r in copies), key=repr)
 
 
