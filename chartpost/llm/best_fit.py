@@ -39,27 +39,26 @@ def piece_rows(tokenizer: str, end_id: int, most: int) -> Callable:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = token_ids(tokenizer)
-        for batch in batches:
-            for at, texts in slices(batch.column(1)):
-                ids, offsets = with_end(*encoder.encode(texts), end_id)
-                lengths = np.diff(offsets)
-                pieces = -(-lengths // most)
-                row = np.repeat(np.arange(len(texts)), pieces)
-                number = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-                start = number * most
-                length = np.minimum(lengths[row] - start, most)
-                first = offsets[row] + start
-                crc = [crc32(ids[a:b]) for a, b in zip(first.tolist(), (first + length).tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, len(texts)).take(pa.array(row)),
-                        pa.array(number, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()),
-                        pa.array(crc, pa.int64()),
-                    ],
-                    ["doc_id", "piece", "start", "length", "ids_crc32"],
-                )
+        for doc_ids, texts in slices(batches):
+            ids, offsets = with_end(*encoder.encode(texts), end_id)
+            lengths = np.diff(offsets)
+            pieces = -(-lengths // most)
+            row = np.repeat(np.arange(len(texts)), pieces)
+            number = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            start = number * most
+            length = np.minimum(lengths[row] - start, most)
+            first = offsets[row] + start
+            crc = [crc32(ids[a:b]) for a, b in zip(first.tolist(), (first + length).tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    doc_ids.take(pa.array(row)),
+                    pa.array(number, pa.int32()),
+                    pa.array(start, pa.int64()),
+                    pa.array(length, pa.int64()),
+                    pa.array(crc, pa.int64()),
+                ],
+                ["doc_id", "piece", "start", "length", "ids_crc32"],
+            )
 
     return cut
 

@@ -104,25 +104,23 @@ def _encode(tokenizer: str, end_id: int, bounds: list[int]) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, press = token_ids(tokenizer), zstandard.ZstdCompressor(1)
         cuts, seen = np.array(bounds, np.int64), 0
-        for batch in batches:
-            for at, texts in slices(batch.column(1)):
-                ids, offsets = with_end(*encoder.encode(texts), end_id)
-                ends = offsets.tolist()
-                doc_ids = batch.column(0).slice(at, len(texts))
-                key = doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy()
-                low, high = np.searchsorted(cuts, key, "left"), np.searchsorted(cuts, key, "right")
-                # An id that is a cut more than once fills several ranges; its rows are dealt to them.
-                spread = np.where(high > low + 1, (seen + np.arange(len(key))) % np.maximum(high - low, 1), 0)
-                seen += len(key)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(low + spread, pa.int32()),
-                        doc_ids,
-                        pa.array(np.diff(offsets), pa.int64()),
-                        pa.array([press.compress(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
-                    ],
-                    ["bucket", "doc_id", "n_tokens", "ids"],
-                )
+        for doc_ids, texts in slices(batches):
+            ids, offsets = with_end(*encoder.encode(texts), end_id)
+            ends = offsets.tolist()
+            key = doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy()
+            low, high = np.searchsorted(cuts, key, "left"), np.searchsorted(cuts, key, "right")
+            # An id that is a cut more than once fills several ranges; its rows are dealt to them.
+            spread = np.where(high > low + 1, (seen + np.arange(len(key))) % np.maximum(high - low, 1), 0)
+            seen += len(key)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(low + spread, pa.int32()),
+                    doc_ids,
+                    pa.array(np.diff(offsets), pa.int64()),
+                    pa.array([press.compress(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                ],
+                ["bucket", "doc_id", "n_tokens", "ids"],
+            )
 
     return encode
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,10 +23,10 @@ UNITS = re.compile(
     r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
 )
 MARKERS = re.compile(r"<\|(?:startoftext|endoftext)\|>")
-# Entries of a cache: met again, met once.  Two caches take about 140 MB.
-KNOWN, NEW = 200_000, 150_000
+# Entries of a cache: met again, met once.  Two caches take about 100 MB.
+KNOWN, NEW = 150_000, 100_000
 # Bytes of text taken at a time, which bounds memory; a longer text is its own slice.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 
 class Cache(dict):
@@ -85,8 +85,10 @@ class TokenIds:
         table = np.frombuffer(b"".join(pieces), "<u4")
         size = sizes[at]
         ends = np.cumsum(size)
-        first = (np.cumsum(sizes) - sizes)[at] - (ends - size)
-        ids = table[np.repeat(first, size) + np.arange(ends[-1] if len(ends) else 0)]
+        # Where in the table each word's ids begin, less where they begin in the result.
+        place = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size)
+        place += np.arange(len(place))
+        ids = table[place]
         offsets = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return ids, offsets
 
@@ -101,14 +103,34 @@ def token_ids(path: str) -> TokenIds:
     return TokenIds(path)
 
 
-def slices(column: pa.Array, most_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
-    """Runs of texts of at most ``most_bytes`` (or one text), with the row they begin at."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    at = 0
-    while at < len(sizes):
-        until = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), most_bytes, "right")))
-        yield at, column.slice(at, until - at)
-        at = until
+def slices(
+    batches: Iterable[pa.RecordBatch], most_bytes: int = SLICE_BYTES
+) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(keys, texts) of the two columns, dealt anew into slices of at most ``most_bytes``.
+
+    Small batches are joined, as each slice encodes a different word once; a longer text
+    is a slice by itself.
+    """
+    held, size = [], 0
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        at = 0
+        while at < len(sizes):
+            fitting = int(np.searchsorted(np.cumsum(sizes[at:]), most_bytes - size, "right"))
+            if not fitting and held:
+                yield _joined(held)
+                held, size = [], 0
+                continue
+            until = at + max(1, fitting)
+            held.append((batch.column(0).slice(at, until - at), batch.column(1).slice(at, until - at)))
+            size += int(sizes[at:until].sum())
+            at = until
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[pa.Array, pa.Array]]) -> tuple[pa.Array, pa.Array]:
+    return pa.concat_arrays([keys for keys, _ in held]), pa.concat_arrays([texts for _, texts in held])
 
 
 def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -40,10 +40,12 @@ def test_ids_equal_the_tokenizer():
 
 
 def test_slices_and_ends():
-    column = pa.array(["aa", None, "b" * 50, "", "c"])
-    assert [(at, part.to_pylist()) for at, part in tokens.slices(column, 10)] == [
-        (0, ["aa", None]), (2, ["b" * 50]), (3, ["", "c"]),
-    ]
+    texts = ["aa", None, "b" * 50, "", "c", "dd", "eeeeeeeee"]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["doc_id", "text"])
+    for batches in ([rows], [rows.slice(i, 1) for i in range(7)], [rows.slice(0, 0), rows.slice(0, 4), rows.slice(4)]):
+        assert [(keys.to_pylist(), part.to_pylist()) for keys, part in tokens.slices(batches, 10)] == [
+            ([0, 1], ["aa", None]), ([2], ["b" * 50]), ([3, 4, 5], ["", "c", "dd"]), ([6], ["eeeeeeeee"]),
+        ]
     ids, offsets = tokens.with_end(np.array([5, 6, 7]), np.array([0, 2, 2, 3]), 9)
     assert ids.tolist() == [5, 6, 9, 9, 7, 9] and offsets.tolist() == [0, 3, 4, 6]
 
