@@ -43,6 +43,7 @@ HEADLINE = (
     "delivery_attempts",
     "ready_stream",
     "delivery_job",
+    "score_delivery_job",
 )
 
 
