@@ -32,6 +32,26 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return files.exists(marker)
 
 
+def drop_finished_plans(spark: SparkSession, workspace: Workspace) -> int:
+    """Delete the plans of batches whose summary is complete; returns how many.
+
+    A finished batch is answered from its summary, so only running ones need their plan.
+    """
+    plans, files = _folder(spark, workspace.path("plans"))
+    if not files.exists(plans):
+        return 0
+    done = [
+        entry.getPath()
+        for entry in files.listStatus(plans)
+        if is_complete(
+            spark, batch_path(workspace, "delivery_batches", batch_id=entry.getPath().getName())
+        )
+    ]
+    for folder in done:
+        files.delete(folder, True)
+    return len(done)
+
+
 def ensure_tables(spark: SparkSession, workspace: Workspace, database: str | None = None) -> None:
     """Create missing tables; with ``database``, also register them in the catalog.
 

@@ -26,7 +26,13 @@ from chartpost.plans.jobs import (
 )
 from chartpost.policies import Breaker, Retries
 from chartpost.schemas import PATIENT_MEASUREMENTS, READY
-from chartpost.sources.tables import Workspace, append_rows, ensure_tables, read_table
+from chartpost.sources.tables import (
+    Workspace,
+    append_rows,
+    drop_finished_plans,
+    ensure_tables,
+    read_table,
+)
 
 AT = datetime(2025, 6, 15, 10, 30, tzinfo=timezone.utc)
 BASE = "https://fhir.example"
@@ -430,6 +436,17 @@ def test_a_token_is_renewed_between_requests(spark, workspace, calls, tmp_path):
     assert sorted(c.split()[2] for c in sent(calls)) == ["t1", "t2", "t3"]
 
 
+def test_finished_plans_are_dropped(spark, workspace, calls):
+    assert drop_finished_plans(spark, workspace) == 0
+    ready(spark, workspace, ["P1", "P2"])
+    first = run_delivery_batch(spark, workspace, endpoint(calls), "b1", limit=1).first()
+    os.makedirs(workspace.path("plans/b9"))
+    assert drop_finished_plans(spark, workspace) == 1
+    assert os.listdir(workspace.path("plans")) == ["b9"]
+    assert run_delivery_batch(spark, workspace, endpoint(calls), "b1").first() == first
+    assert run_delivery_batch(spark, workspace, endpoint(calls), "b2").first().succeeded == 1
+
+
 def test_completion_markers_must_stay_on(spark, workspace, calls):
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
