@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -25,13 +26,19 @@ ACCESS_CHARS, HEX_CHARS, VALUE_CHARS = 20, 24, 6
 HEX_RUN = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-# Novelty: words that make the text before a string sensitive, and how far before.
+# Novelty: words that make the block of text they stand in sensitive.
 SENSITIVE = re.compile(
     r"(?ai:passw|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credential|bearer|authorization)"
 )
 HINTS = ("passw", "passp", "pwd", "secret", "token", "key", "credential", "bearer", "authoriz")
+BLOCK_END = re.compile(r"\n[^\S\n]*\n")
+# Beyond its block a context goes on over any text this short, and until prose resumes: words in a row.
 REACH = 64
+PROSE = re.compile(r"(?:[^\W\d_]+[.,;:!?\"')]*\s+){7}[^\W\d_]+")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# A wrapped string goes on as a whole line; its last line may be short, but is not a word.
+NEXT_LINE = re.compile(r"\\?[\"',]?[^\S\n]*\n[^\S\n]*[\"'>#*]?[^\S\n]*([A-Za-z0-9+/_=-]+)(?=\\?[\"',;]*[^\S\n]*(?:\n|\Z))")
+NO_WORD = re.compile(r"[0-9+/=]|[a-z][A-Z]")
 AROUND = 256
 # Marginal compressed bytes per character from which a string is novel.
 NOVEL = 0.75
@@ -82,30 +89,109 @@ def novel_spans(text: str, novelty: Novelty, base: list[Span]) -> list[Span]:
     Strings inside a base span are known already.
     """
     low = text.lower()
-    if not any(hint in low for hint in HINTS):
+    if not base and not any(hint in low for hint in HINTS):
         return []
-    found = []
-    for word in SENSITIVE.finditer(text):
-        for m in CANDIDATE.finditer(text, word.end(), _reach(text, word.end())):
-            start, end = m.span()
-            string = m[0]
-            if (start, 3, end) in found or any(a < end and start < b for a, _, b in base):
-                continue
-            if not (any(c.isdigit() for c in string) and any(c.isalpha() for c in string)):
-                continue
-            if novelty.share(text[max(0, start - AROUND) : start], string, text[end : end + AROUND]) >= NOVEL:
-                found.append((start, 3, end))
-    return found
-
-
-def _reach(text: str, at: int) -> int:
-    """End of the context after a sensitive word, up to the end of the string it cuts."""
-    end = min(len(text), at + REACH)
-    inside = CANDIDATE_CHAR.match(text, end)
-    return inside.end() if inside else end
-
-
-CANDIDATE_CHAR = re.compile(r"[A-Za-z0-9+/_=-]*")
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    if not runs:
+        return []
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    known = _Known(base)
+    found = {}
+    for start, end in _in_context(text, runs, words, base):
+        if known.meets(start, end):
+            continue
+        for at in _starts(start, end, words):
+            if _mixed(text[at:end]) and _is_novel(text, novelty, at, end):
+                found[at] = end
+                break
+    return sorted((start, 3, end) for start, end in _continued(text, novelty, found, known).items())
+
+
+class _Known:
+    """Base spans, to be asked for an overlap."""
+
+    def __init__(self, base: list[Span]):
+        self.starts, self.ends = [a for a, _, _ in base], []
+        for _, _, b in base:
+            self.ends.append(max(b, self.ends[-1]) if self.ends else b)
+
+    def meets(self, start: int, end: int) -> bool:
+        before = bisect(self.starts, end - 1)
+        return before > 0 and self.ends[before - 1] > start
+
+
+def _mixed(string: str) -> bool:
+    return any(c.isdigit() for c in string) and any(c.isalpha() for c in string)
+
+
+def _is_novel(text: str, novelty: Novelty, start: int, end: int) -> bool:
+    return novelty.share(text[max(0, start - AROUND) : start], text[start:end], text[end : end + AROUND]) >= NOVEL
+
+
+def _starts(start: int, end: int, words: list[tuple[int, int]]) -> list[int]:
+    """Where a string may begin in a run: at its start, or after a sensitive word within."""
+    at = bisect(words, (start, start))
+    # A word may begin before the run and end in it.
+    at -= at > 0 and words[at - 1][1] > start
+    out = [start]
+    while at < len(words) and words[at][0] < end:
+        if start < words[at][1] <= end - 16:
+            out.append(words[at][1])
+        at += 1
+    return out
+
+
+def _in_context(text: str, runs: list[tuple[int, int]], words: list[tuple[int, int]], base: list[Span]) -> list[tuple[int, int]]:
+    """Runs in a sensitive context.
+
+    That is a block, up to an empty line, with a sensitive word before or after the run;
+    and from there, or from a base span, from run to run until prose resumes.
+    """
+    ends = [m.start() for m in BLOCK_END.finditer(text)]
+    sensitive = {bisect(ends, start) for start, _ in words}
+    inside = {run for run in runs if bisect(ends, run[0]) in sensitive}
+
+    def carried(gap: str) -> bool:
+        return len(gap) <= REACH or not PROSE.search(gap)
+
+    marks = [(start, end, False) for start, end in words] + [(start, end, False) for start, _, end in base]
+    at = None
+    for start, end, is_run in sorted([*marks, *((*run, True) for run in runs)]):
+        if not is_run:
+            at = max(at or 0, end)
+        elif (start, end) in inside or (at is not None and carried(text[at:start])):
+            inside.add((start, end))
+            at = max(at or 0, end)
+        else:
+            at = None
+    at = None
+    for start, end, is_run in sorted([*((*word, False) for word in words), *((*run, True) for run in runs)], reverse=True):
+        if not is_run or (start, end) in inside or (at is not None and carried(text[end:at])):
+            if is_run:
+                inside.add((start, end))
+            at = start
+        else:
+            at = None
+    return sorted(inside)
+
+
+def _continued(text: str, novelty: Novelty, found: dict[int, int], known: _Known) -> dict[int, int]:
+    """``found`` with the lines that go on a wrapped string: equally long ones, and a shorter last one."""
+    out = dict(found)
+    for start, end in sorted(found.items()):
+        while line := NEXT_LINE.match(text, end):
+            a, b = line.span(1)
+            if a in out or b - a > end - start or known.meets(a, b):
+                break
+            if b - a >= 16 and not (b - a == end - start and _is_novel(text, novelty, a, b)):
+                break
+            if b - a < 16 and not NO_WORD.search(line[1]):
+                break
+            out[a] = b
+            if b - a < end - start:
+                break
+            start, end = a, b
+    return out
 
 
 def spans_text(spans: list[Span]) -> str:
