@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect
 from collections.abc import Iterator
@@ -40,8 +41,18 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 NEXT_LINE = re.compile(r"\\?[\"',]?[^\S\n]*\n[^\S\n]*[\"'>#*]?[^\S\n]*([A-Za-z0-9+/_=-]+)(?=\\?[\"',;]*[^\S\n]*(?:\n|\Z))")
 NO_WORD = re.compile(r"[0-9+/=]|[a-z][A-Z]")
 AROUND = 256
-# Marginal compressed bytes per character from which a string is novel.
+# Marginal compressed bytes per character from which a string is novel, unless its alphabet has fewer bits.
 NOVEL = 0.75
+ALPHABETS = [
+    (re.compile(letters), math.log2(size) / 8)
+    for letters, size in (
+        ("[0-9a-f_=-]+", 16),
+        ("[0-9A-F_=-]+", 16),
+        ("[0-9a-z_=-]+", 36),
+        ("[0-9A-Z_=-]+", 36),
+        ("[0-9A-Za-z_=-]+", 62),
+    )
+]
 # Identifiers that code is full of; the compressor knows them before it starts.
 IDENTIFIERS = (
     "access_key access_token api_key authorization bearer begin certificate client_id client_secret config "
@@ -95,22 +106,28 @@ def novel_spans(text: str, novelty: Novelty, base: list[Span]) -> list[Span]:
     if not runs:
         return []
     words = [m.span() for m in SENSITIVE.finditer(text)]
-    known = _Known(base)
+    known, context = _Known(base), _Context(text, runs, base)
     found = {}
+    strings = set()
     for start, end in _in_context(text, runs, words, base):
         if known.meets(start, end):
             continue
         for at in _starts(start, end, words):
-            if _mixed(text[at:end]) and _is_novel(text, novelty, at, end):
+            string = text[at:end]
+            if string in strings or (_mixed(string) and context.is_novel(novelty, at, end)):
+                strings.add(string)
                 found[at] = end
                 break
-    return sorted((start, 3, end) for start, end in _continued(text, novelty, found, known).items())
+    found = _continued(text, novelty, context, found, known)
+    found |= _copies(text, runs, strings, _Known([*base, *((start, 3, end) for start, end in found.items())]))
+    return sorted((start, 3, end) for start, end in found.items())
 
 
 class _Known:
-    """Base spans, to be asked for an overlap."""
+    """Spans, to be asked for an overlap."""
 
     def __init__(self, base: list[Span]):
+        base = sorted(base)
         self.starts, self.ends = [a for a, _, _ in base], []
         for _, _, b in base:
             self.ends.append(max(b, self.ends[-1]) if self.ends else b)
@@ -124,8 +141,39 @@ def _mixed(string: str) -> bool:
     return any(c.isdigit() for c in string) and any(c.isalpha() for c in string)
 
 
-def _is_novel(text: str, novelty: Novelty, start: int, end: int) -> bool:
-    return novelty.share(text[max(0, start - AROUND) : start], text[start:end], text[end : end + AROUND]) >= NOVEL
+def least_share(string: str) -> float:
+    """Share from which a string is novel: that of random strings in its alphabet, NOVEL at most."""
+    return min([NOVEL, *(bits for letters, bits in ALPHABETS if letters.fullmatch(string))])
+
+
+class _Context:
+    """The text without base spans and candidates, which would tell of each other."""
+
+    def __init__(self, text: str, runs: list[tuple[int, int]], base: list[Span]):
+        self.text, pieces, at, size = text, [], 0, 0
+        self.ends, self.offsets = [], []
+        out = [(start, end) for start, end in runs if _mixed(text[start:end])] + [(start, end) for start, _, end in base]
+        for start, end in sorted(out):
+            if start > at:
+                pieces.append(text[at:start])
+                size += start - at
+            at = max(at, end)
+            self.ends.append(at)
+            self.offsets.append(size)
+        self.rest = "".join([*pieces, text[at:]])
+
+    def is_novel(self, novelty: Novelty, start: int, end: int) -> bool:
+        """Whether the string at start is, beside the AROUND characters that are left before and after it."""
+        k = bisect(self.ends, start)
+        last, offset = (self.ends[k - 1], self.offsets[k - 1]) if k else (0, 0)
+        # A string that is taken out lies between two pieces; one that is not has a place in its piece.
+        if k < len(self.ends) and offset + start - last >= self.offsets[k]:
+            before = after = self.offsets[k]
+        else:
+            before = offset + start - last
+            after = before + end - start
+        share = novelty.share(self.rest[max(0, before - AROUND) : before], self.text[start:end], self.rest[after : after + AROUND])
+        return share >= least_share(self.text[start:end])
 
 
 def _starts(start: int, end: int, words: list[tuple[int, int]]) -> list[int]:
@@ -175,7 +223,7 @@ def _in_context(text: str, runs: list[tuple[int, int]], words: list[tuple[int, i
     return sorted(inside)
 
 
-def _continued(text: str, novelty: Novelty, found: dict[int, int], known: _Known) -> dict[int, int]:
+def _continued(text: str, novelty: Novelty, context: _Context, found: dict[int, int], known: _Known) -> dict[int, int]:
     """``found`` with the lines that go on a wrapped string: equally long ones, and a shorter last one."""
     out = dict(found)
     for start, end in sorted(found.items()):
@@ -183,7 +231,7 @@ def _continued(text: str, novelty: Novelty, found: dict[int, int], known: _Known
             a, b = line.span(1)
             if a in out or b - a > end - start or known.meets(a, b):
                 break
-            if b - a >= 16 and not (b - a == end - start and _is_novel(text, novelty, a, b)):
+            if b - a >= 16 and not (b - a == end - start and context.is_novel(novelty, a, b)):
                 break
             if b - a < 16 and not NO_WORD.search(line[1]):
                 break
@@ -194,6 +242,22 @@ def _continued(text: str, novelty: Novelty, found: dict[int, int], known: _Known
     return out
 
 
+def _copies(text: str, runs: list[tuple[int, int]], strings: set[str], known: _Known) -> dict[int, int]:
+    """Further places of ``strings``, alone or within longer runs."""
+    found = {}
+    sizes = sorted({len(string) for string in strings}, reverse=True)
+    for start, end in runs:
+        if not sizes or known.meets(start, end):
+            continue
+        at = start
+        while at <= end - sizes[-1]:
+            size = next((n for n in sizes if at + n <= end and text[at : at + n] in strings), 0)
+            if size:
+                found[at] = at + size
+            at += size or 1
+    return found
+
+
 def spans_text(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in sorted(spans))
 

@@ -187,6 +187,31 @@ def test_sensitive_contexts_are_whole_blocks():
     assert novel_strings(f"it is private_key{keys[0]}\nregards")[0].endswith(keys[0])
 
 
+UUID = "0123456789abcdef"
+
+
+def uuid(seed):
+    digits = random_string(seed, 32, UUID)
+    return "-".join([digits[:8], digits[8:12], digits[12:16], digits[16:20], digits[20:]])
+
+
+def test_secrets_tell_nothing_of_each_other():
+    keys = [random_string(300 + k, 40) for k in range(4)]
+    # A key written twice, also where no word is near, and within a longer string.
+    assert novel_strings(f"the api key is {keys[0]}, again {keys[0]} as sent") == keys[:1] * 2
+    assert novel_strings(f"the api key is {keys[0]}.{PROSE}see https://example.com/v1/{keys[0]}/x") == keys[:1] * 2
+    assert novel_strings("host | owner | secret\n" + "".join(f"host{k} | owner{k} | {key}\n" for k, key in enumerate(keys))) == keys
+    listed = "API keys\n\n" + "".join(f"- the server of group {k}:\n\n    {key}\n\n" for k, key in enumerate(keys))
+    assert novel_strings(listed) == keys
+    lines = [random_string(k, 64) for k in range(40)] + [random_string(99, 9) + "8Q="]
+    pem = "-----BEGIN PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END PRIVATE KEY-----\n"
+    assert novel_strings(f"as agreed\n{pem}regards") == lines
+    assert redacted(pem, Novelty(), "") == "-----BEGIN PRIVATE KEY-----" + "\n" * 42 + "-----END PRIVATE KEY-----\n"
+    for make in (uuid, lambda k: random_string(k, 20, UUID.upper()), lambda k: random_string(k, 64), lambda k: random_string(k, 3000)):
+        many = [make(k) for k in range(30)]
+        assert novel_strings("the tokens are\n" + "\n".join(many)) == many
+
+
 def test_redaction(spark):
     novelty = Novelty()
     assert redacted('a token = "3f76bb46f51625a07193ae74d1cc485f188b9b5d" b', novelty, "[secret]") == 'a [secret]" b'
