@@ -1,0 +1,80 @@
+"""Near copies against all pairs compared."""
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from chartpost.llm.near_copies import one_per_copy_group
+from chartpost.llm.simhash import links
+
+SCHEMA = "doc_id long, text string, keys string"
+
+
+def plain_set(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain_kept(rows):
+    root, sets = list(range(len(rows))), [plain_set(t) for _, t in rows]
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if similarity(sets[i], sets[j]) >= 0.8:
+                root[find(i)] = find(j)
+    return sorted({min(rows[j][0] for j in range(len(rows)) if find(j) == find(i)) for i in range(len(rows))})
+
+
+def edited_documents():
+    """Texts with edits spread over them: similarities from 0.6 to 1, and chains of edits."""
+    rng = random.Random(11)
+    word = lambda: f"w{rng.randint(0, 5000)}"
+    texts = ["", None, " ", "one two", "One TWO", "three"]
+    for group in range(30):
+        words = [word() for _ in range(rng.randint(150, 400))]
+        texts.append(" ".join(words))
+        for edits in (1, 2, 4, 5, 6, 8):
+            changed = list(words)
+            for at in rng.sample(range(len(words)), edits * len(words) // 300 + 1):
+                changed[at] = word()
+            texts.append(" ".join(changed))
+            if edits == 4 and group % 2:
+                words = changed
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return edited_documents()
+
+
+def test_near_copies_of_the_stage(spark, rows):
+    table = spark.createDataFrame([(d, t, "clash") for d, t in rows], SCHEMA)
+    kept = corpus_pipeline.near_dedup(spark, table, "")
+    assert kept.columns == table.columns
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
+
+
+def test_ids_and_empty_tables(spark):
+    same = [(None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (8, "other words stand here now and then"), (None, "")]
+    kept = one_per_copy_group(spark.createDataFrame([(*r, "k") for r in same], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(7, "a b c d e f"), (8, "other words stand here now and then")]
+    assert len(kept) == 3
+    assert one_per_copy_group(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("radius", [-1, 4])
+def test_radius_beyond_the_index_is_refused(spark, radius):
+    with pytest.raises(ValueError):
+        links(spark.createDataFrame([(1,), (2,)], "bits long"), radius)
