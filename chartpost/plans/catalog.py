@@ -259,7 +259,7 @@ def quarantined_rows(spark, d):
 
 @query
 def ready_projection(spark, d):
-    """The ten ready columns (queue time injected)."""
+    """The thirteen ready columns (queue time injected)."""
     return normalize.ready_rows(b.obs_queue(spark, d), F.col("queued_at"))
 
 

@@ -572,7 +572,7 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
     "ready_projection": (
         "queue",
         """SELECT patient_id, encounter_id, observation_code, code_system, display_name, value,
-          unit, effective_datetime, source_system, queued_at
+          value_str, value_bool, unit, effective_datetime, source_system, metadata_json, queued_at
         FROM queue WHERE patient_id IS NOT NULL AND observation_code IS NOT NULL""",
     ),
     "normalized_observations": (
