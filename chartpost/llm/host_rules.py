@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -89,9 +88,18 @@ def measured(documents: DataFrame, host: str = "source") -> DataFrame:
     return rows.mapInArrow(_measure, schema)
 
 
-@F.pandas_udf(T.StructType([T.StructField(name, T.LongType()) for name in COUNTS]))
-def _counts(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([measures(text) for text in texts], columns=list(COUNTS), dtype="int64")
+def _measure_rows(at: int) -> Callable:
+    """Adds COUNTS of the text, field ``at`` of the rows in the first column."""
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(0).flatten()[at].cast(pa.string())
+            values = np.array([measures(text.as_py()) for text in texts], np.int64).reshape(-1, len(COUNTS))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *map(pa.array, values.T.copy())], ["_row", "host", *COUNTS]
+            )
+
+    return measure
 
 
 def base_failed() -> Column:
@@ -172,15 +180,17 @@ def judge_documents(documents: DataFrame, host: str = "source") -> DataFrame:
 def keep_good(documents: DataFrame, host: str = "source") -> DataFrame:
     """The documents kept, with all their columns.
 
-    Host verdicts come from the measures of all documents; each document is measured
-    again beside its columns, so that verdicts need not be joined back by document.
+    Each text is measured once, and its counts are stored beside the document's columns,
+    so that host verdicts need not be joined back by document.  Null and empty texts go,
+    as they have no words; repeated rows are judged each; very long texts are measured whole;
+    an empty table gives no rows.
     """
     session(documents.sparkSession)
-    verdicts = broadcast_if_bounded(
-        store(host_verdicts(store(measured(documents, host), "measures")), "host-verdicts")
-    ).select(F.col("host").alias("_host"), "rejected", *[f"habit_{name}" for name in HABITS])
-    beside = documents.select(F.struct(*documents.columns).alias("_row"), F.col(host).cast("string").alias("_by"), _counts("text").alias("_counts"))
-    joined = beside.join(verdicts, F.col("_by").eqNullSafe(F.col("_host")), "left")
-    flat = joined.select("_row", "rejected", *[f"habit_{name}" for name in HABITS], "_counts.*")
+    columns = documents.columns
+    rows = documents.select(F.struct(*columns).alias("_row"), F.col(host).cast("string").alias("host"))
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(name, T.LongType()) for name in COUNTS]])
+    beside = store(rows.mapInArrow(_measure_rows(columns.index("text")), schema), "measured-rows")
+    verdicts = broadcast_if_bounded(store(host_verdicts(beside.select("host", *COUNTS)), "host-verdicts"))
+    joined = beside.join(verdicts.withColumnRenamed("host", "_host"), F.col("host").eqNullSafe(F.col("_host")), "left")
     habit = [F.col(f"habit_{name}") & F.expr(rule) for name, rule in HABITS.items()]
-    return flat.where(~(base_failed() | F.col("rejected") | habit[0] | habit[1])).select("_row.*")
+    return joined.where(~(base_failed() | F.col("rejected") | habit[0] | habit[1])).select("_row.*")

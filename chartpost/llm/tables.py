@@ -15,16 +15,20 @@ CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BROADCAST_ROWS = 100_000
 
 
-# Rows handed to Python at a time.  Whole texts are long; a batch and its copies count
-# against the memory of every task.
-ARROW_CONF, ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+# Rows and bytes handed to Python at a time.  Whole texts are long; a batch and its copies
+# count against the memory of every task.
+ARROW_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 
 
 def session(spark: SparkSession) -> SparkSession:
     """Runtime settings, and this package on the executors."""
     ship_package(spark)
-    if spark.conf.get(ARROW_CONF, None) != ARROW_ROWS:
-        spark.conf.set(ARROW_CONF, ARROW_ROWS)
+    for name, limit in ARROW_LIMITS.items():
+        if spark.conf.get(name, None) != limit:
+            spark.conf.set(name, limit)
     return prepare_session(spark)
 
 
