@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from chartpost.llm import (
     best_fit,
     exact_topk,
+    hard_negatives,
     host_rules,
+    hyperminhash,
     language_spans,
+    merkle_manifest,
     mixing,
     role_repair,
     secret_novelty,
@@ -114,3 +117,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", simhash.fingerprint_text().alias("fingerprint"), "component_id"
     )
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the first positives of each vec_id divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, root and proof of every document; every third is tampered with."""
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), merkle_manifest.every_third())
+
+
+@query
+def op13_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by their two-word shingles."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -132,4 +132,102 @@ SELECT page_id, host, path, rule,
 FROM own
 """
 
-ORACLE: dict[str, str] = {"op1_host_rules": _OP1, "op5_exact_topk": _OP5, "op9_url_aliases": _OP9}
+_OP11 = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND label IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM whole a JOIN whole c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), hard AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id,
+         p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM hard WHERE rank <= 5
+"""
+
+
+def _tree(name: str, levels: int) -> str:
+    """Nodes of ``name``0 (g, pos, h) rolled up ``levels`` times, with the hashes beside each node."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""{name}{k}_beside AS (
+  SELECT g, pos, h, count(*) OVER (PARTITION BY g) AS n,
+         coalesce(string_agg(h, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+         coalesce(string_agg(h, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+  FROM {name}{k} WINDOW run AS (PARTITION BY g, pos // 8 ORDER BY pos)
+), {name}{k + 1} AS (
+  SELECT g, pos // 8 AS pos, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(h, '' ORDER BY pos)) ELSE any_value(h) END AS h
+  FROM {name}{k}_beside GROUP BY g, pos // 8
+)""")
+    return ", ".join(parts)
+
+
+def _folds(source: str, name: str, levels: int, g: str, pos: str) -> tuple[str, str]:
+    """CTEs that fold f of ``source`` level by level and collect what is beside; the last one's name."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""fold_{name}{k} AS (
+  SELECT s.* EXCLUDE (f, beside), CASE WHEN b.n > 1 THEN sha256(b.before || f || b.after) ELSE f END AS f,
+         beside || b.before || b.after AS beside
+  FROM {source} s JOIN {name}{k}_beside b ON b.g = s.{g} AND b.pos = s.{pos} // {8**k}
+)""")
+        source = f"fold_{name}{k}"
+    return ", ".join(parts), source
+
+
+# Levels enough for 8**6 documents of one lang and as many langs as 8**3.
+_DOC_LEVELS, _LANG_LEVELS = 6, 3
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen({0}::VARCHAR) || ':' || {0}::VARCHAR END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+_DOC_FOLDS, _DOC_LAST = _folds("started", "docs", _DOC_LEVELS, "g", "pos")
+_LANG_FOLDS, _LANG_LAST = _folds("climbed", "langs", _LANG_LEVELS, "all_langs", "lang_pos")
+_OP12 = f"""
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i, 0, i::UBIGINT FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384::UBIGINT) ELSE v >> 1 END FROM bits WHERE k < 8
+), crc AS (
+  SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8
+), leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS g, {_leaf("text")} AS h,
+         {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS changed,
+         xor(list_reduce(
+           list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::UBIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::INTEGER + 1])), 4294967295::UBIGINT) % 3 = 0 AS tampered
+  FROM documents, crc
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaves
+), docs0 AS (SELECT g, pos, h FROM placed), {_tree("docs", _DOC_LEVELS)}, subroots AS (
+  SELECT g AS lang_g, h, row_number() OVER (ORDER BY encode(g)) - 1 AS pos FROM docs{_DOC_LEVELS}
+), langs0 AS (SELECT '' AS g, pos, h FROM subroots), {_tree("langs", _LANG_LEVELS)}, started AS (
+  SELECT p.doc_id, p.g, p.pos, p.h AS leaf, s.h AS subroot, s.pos AS lang_pos, '' AS all_langs,
+         CASE WHEN coalesce(tampered, false) THEN changed ELSE p.h END AS f, '' AS beside
+  FROM placed p JOIN subroots s ON s.lang_g = p.g
+), {_DOC_FOLDS}, climbed AS (SELECT * FROM {_DOC_LAST}), {_LANG_FOLDS}
+SELECT doc_id, leaf, subroot, r.h AS root, sha256(beside) AS proof_sha256, f AS folded_root, f = r.h AS verified
+FROM {_LANG_LAST}, langs{_LANG_LEVELS} r
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_host_rules": _OP1,
+    "op5_exact_topk": _OP5,
+    "op9_url_aliases": _OP9,
+    "op11_hard_negatives": _OP11,
+    "op12_merkle_manifest": _OP12,
+}

@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     assert {**catalog.QUERIES, "pipeline": corpus_pipeline.run}.items() <= entry.queries().items()
     assert set(oracle.ORACLE) <= set(entry.oracle_sql()) and "pipeline" not in entry.oracle_sql()
-    assert [int(re.match(r"op(\d+)_", name)[1]) for name in catalog.QUERIES] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", name)[1]) for name in catalog.QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracle.ORACLE))
@@ -32,7 +32,7 @@ def test_query_equals_sql(spark, name):
 ROWS = {
     "op2_source_mixing": "documents", "op6_secret_novelty": "documents", "op7_token_files": "documents",
     "op8_language_spans": "documents", "op10_simhash": "documents", "op4_best_fit_packing": "documents",
-    "op3_role_repair": "conversations",
+    "op3_role_repair": "conversations", "op12_merkle_manifest": "documents", "op13_hyperminhash": "documents",
 }
 
 
