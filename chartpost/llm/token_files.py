@@ -19,9 +19,11 @@ from chartpost.llm.tokens import slices, token_ids, with_end
 from chartpost.session import shuffle_partitions
 
 # A file is blocks: this header, then doc ids (8 bytes each), null marks (1), lengths (4),
-# and the ids: control bytes and data bytes, or compressed 32-bit ids while ranks are unknown.
+# and the ids: control bytes and data bytes, or the bare ids while ranks are unknown.
 HEADER = struct.Struct("<4sIQQQ")
-CODED, PLAIN = b"TKV1", b"TKP1"
+CODED = b"TKV1"
+# Bare ids take two bytes each where the vocabulary allows, else four.
+PLAIN = {"<u2": b"TKP2", "<u4": b"TKP4"}
 BLOCK_IDS = 1 << 19
 # Bytes of the four values under each control byte, two bits a value, lowest first.
 SIZES = ((np.arange(256)[:, None] >> np.arange(0, 8, 2)) & 3).astype(np.uint8) + 1
@@ -94,19 +96,28 @@ def read_blocks(folder: str, name: str) -> Iterator[tuple[list[int | None], np.n
             yield ids, lengths, kind, stream.read(n_control), stream.read(n_data)
 
 
-def _plain_ids(data: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "<u4")
+def id_type(tokenizer: str, end_id: int) -> str:
+    """The narrowest type of ids that holds the whole vocabulary and the end id."""
+    return "<u2" if max(token_ids(tokenizer).largest, end_id) < 1 << 16 else "<u4"
 
 
-def _encode(tokenizer: str, end_id: int, bounds: list[int]) -> Callable:
-    """Documents -> their range of doc_id and compressed ids."""
+def _binary(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Stretches of ``values`` between ``offsets`` as one binary value each."""
+    ends = (offsets * values.itemsize).astype(np.int64)
+    whole = pa.Array.from_buffers(
+        pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+    return whole.cast(pa.binary())
+
+
+def _encode(tokenizer: str, end_id: int, bounds: list[int], kind: str) -> Callable:
+    """Documents -> their range of doc_id and their ids."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, press = token_ids(tokenizer), zstandard.ZstdCompressor(1)
+        encoder = token_ids(tokenizer)
         cuts, seen = np.array(bounds, np.int64), 0
         for doc_ids, texts in slices(batches):
             ids, offsets = with_end(*encoder.encode(texts), end_id)
-            ends = offsets.tolist()
             key = doc_ids.fill_null(np.iinfo(np.int64).min).to_numpy()
             low, high = np.searchsorted(cuts, key, "left"), np.searchsorted(cuts, key, "right")
             # An id that is a cut more than once fills several ranges; its rows are dealt to them.
@@ -117,7 +128,7 @@ def _encode(tokenizer: str, end_id: int, bounds: list[int]) -> Callable:
                     pa.array(low + spread, pa.int32()),
                     doc_ids,
                     pa.array(np.diff(offsets), pa.int64()),
-                    pa.array([press.compress(ids[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()),
+                    _binary(ids.astype(kind), offsets),
                 ],
                 ["bucket", "doc_id", "n_tokens", "ids"],
             )
@@ -125,12 +136,11 @@ def _encode(tokenizer: str, end_id: int, bounds: list[int]) -> Callable:
     return encode
 
 
-def _write_plain(folder: str) -> Callable:
+def _write_plain(folder: str, kind: str) -> Callable:
     """Sorted documents -> one file of plain ids per range, and how often each id is in it."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press, bucket, writer = zstandard.ZstdCompressor(3), None, None
-        unpress = zstandard.ZstdDecompressor()
         counts = np.zeros(0, np.int64)
         doc_ids, lengths, held, waiting = [], [], [], 0
 
@@ -139,10 +149,10 @@ def _write_plain(folder: str) -> Callable:
             if not doc_ids:
                 return
             raw = b"".join(held)
-            found = np.bincount(np.frombuffer(raw, "<u4"), minlength=len(counts))
+            found = np.bincount(np.frombuffer(raw, kind), minlength=len(counts))
             found[: len(counts)] += counts
             counts = found
-            writer.write(doc_ids, lengths, PLAIN, b"", press.compress(raw))
+            writer.write(doc_ids, lengths, PLAIN[kind], b"", raw)
             doc_ids.clear(), lengths.clear(), held.clear()
             waiting = 0
 
@@ -160,16 +170,15 @@ def _write_plain(folder: str) -> Callable:
             return pa.RecordBatch.from_pydict(row, FILE_SCHEMA)
 
         for batch in batches:
-            for row in range(batch.num_rows):
-                now = batch.column(0)[row].as_py()
+            for now, doc_id, length, raw in zip(*(column.to_pylist() for column in batch.columns)):
                 if now != bucket:
                     if writer:
                         yield finish()
                     bucket, writer = now, BlockWriter(folder, f"plain-{now:06d}")
-                doc_ids.append(batch.column(1)[row].as_py())
-                lengths.append(batch.column(2)[row].as_py())
-                held.append(unpress.decompress(batch.column(3)[row].as_py()))
-                waiting += lengths[-1]
+                doc_ids.append(doc_id)
+                lengths.append(length)
+                held.append(raw)
+                waiting += length
                 if waiting >= BLOCK_IDS:
                     flush()
         if writer:
@@ -192,7 +201,7 @@ def _sum_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
 
-def _write_coded(folder: str, vocabulary: np.ndarray) -> Callable:
+def _write_coded(folder: str, vocabulary: np.ndarray, kind: str) -> Callable:
     """Each plain file -> one of ranks in the byte-aligned code."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +211,7 @@ def _write_coded(folder: str, vocabulary: np.ndarray) -> Callable:
             for row in batch.to_pylist():
                 writer = BlockWriter(folder, f"ids-{row['bucket']:06d}")
                 for doc_ids, lengths, _, _, data in read_blocks(folder, row["path"]):
-                    writer.write(doc_ids, lengths.tolist(), CODED, *encode_ranks(rank[_plain_ids(data)]))
+                    writer.write(doc_ids, lengths.tolist(), CODED, *encode_ranks(rank[np.frombuffer(data, kind)]))
                 yield pa.RecordBatch.from_pylist([{**row, "path": writer.close()}], batch.schema)
 
     return write
@@ -224,14 +233,15 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id:
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     shares = [k / (RANGES * parts) for k in range(1, RANGES * parts)]
     bounds = rows.agg(F.percentile_approx("doc_id", shares, 10 * RANGES * parts)).first()[0] or []
+    kind = id_type(tokenizer, end_id)
     coded = rows.mapInArrow(
-        _encode(tokenizer, end_id, bounds), "bucket int, doc_id long, n_tokens long, ids binary"
+        _encode(tokenizer, end_id, bounds, kind), "bucket int, doc_id long, n_tokens long, ids binary"
     )
     with shuffles_freed(spark):
         files = store(
             coded.repartition(parts, "bucket")
             .sortWithinPartitions("bucket", "doc_id")
-            .mapInArrow(_write_plain(folder), FILES),
+            .mapInArrow(_write_plain(folder, kind), FILES),
             "plain-files",
         )
     summed = files.select("counts").repartition(-(-files.count() // FILES_PER_SUM) or 1)
@@ -243,7 +253,7 @@ def write_token_files(documents: DataFrame, tokenizer: str, folder: str, end_id:
     manifest = files.select("bucket", "path", "n_docs", "n_ids")
     schema = "bucket int, path string, n_docs long, n_ids long"
     return store(
-        manifest.repartition(RANGES * parts).mapInArrow(_write_coded(folder, vocabulary), schema), "manifest"
+        manifest.repartition(RANGES * parts).mapInArrow(_write_coded(folder, vocabulary, kind), schema), "manifest"
     )
 
 
@@ -259,7 +269,7 @@ def _read_coded(folder: str, with_ids: bool) -> Callable:
                     ends = np.cumsum(lengths)
                     ids = vocabulary[decode_ranks(control, data, int(ends[-1]))]
                     begins = (ends - lengths).tolist()
-                    blobs = [ids[a:b].tobytes() for a, b in zip(begins, ends.tolist())]
+                    blobs = [ids[a:b] for a, b in zip(begins, ends.tolist())]
                     columns = {
                         "doc_id": pa.array(doc_ids, pa.int64()),
                         "start": pa.array(start + ends - lengths, pa.int64()),
@@ -267,7 +277,7 @@ def _read_coded(folder: str, with_ids: bool) -> Callable:
                         "ids_crc32": pa.array([crc32(blob) for blob in blobs], pa.int64()),
                     }
                     if with_ids:
-                        columns["ids"] = pa.array(blobs, pa.binary())
+                        columns["ids"] = pa.array([blob.tobytes() for blob in blobs], pa.binary())
                     yield pa.RecordBatch.from_pydict(columns)
                     start += int(ends[-1])
 

@@ -19,12 +19,13 @@ from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 # Units of a lower-cased piece of the first 256 code points, in which nothing composes.
-UNITS = re.compile(
-    r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
-)
+UNIT = r"'(?:s|t|re|ve|m|ll|d)|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼-¾]|[^\t-\r \x85\xa0a-zªµºß-öø-ÿ0-9²³¹¼-¾]+"
+UNITS = re.compile(UNIT)
+# Pieces that are cut into units all at once: no blanks of any kind, no markers.
+PLAIN = "^[!-~¡-ÿ]+$"
 MARKERS = re.compile(r"<\|(?:startoftext|endoftext)\|>")
-# Entries of a cache: met again, met once.  Two caches take about 100 MB.
-KNOWN, NEW = 150_000, 100_000
+# Entries of a cache: met again, met once.  The cache of units takes about 80 MB when full; few pieces need theirs.
+KNOWN, NEW = 150_000, 250_000
 # Bytes of text taken at a time, which bounds memory; a longer text is its own slice.
 SLICE_BYTES = 8 << 20
 
@@ -61,6 +62,7 @@ class TokenIds:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
+        self.largest = max(self.tokenizer.get_vocab(with_added_tokens=True).values())
         to_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.as_bytes = str.maketrans({chr(at): to_bytes(chr(at))[0][0] for at in range(0x100)})
         self.units, self.pieces = Cache(self.unit), Cache(self.piece)
@@ -74,25 +76,45 @@ class TokenIds:
             return packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
         return b"".join(map(self.units.__getitem__, UNITS.findall(piece.lower())))
 
+    def piece_table(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids in a row, and where in them each piece's begin and how many they are."""
+        plain = pc.and_not(pc.match_substring_regex(pieces, PLAIN), pc.match_substring(pieces, "<|"))
+        spaced = pc.replace_substring_regex(pc.utf8_lower(pieces.filter(plain)), f"({UNIT})", "\\1 ")
+        units = pc.split_pattern(spaced, " ")
+        coded = units.flatten().dictionary_encode()
+        known = list(map(self.units.__getitem__, coded.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        of_unit = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, ends = spread(
+            np.frombuffer(b"".join(known), "<u4"), np.cumsum(of_unit) - of_unit, of_unit, coded.indices.to_numpy()
+        )
+        cuts = np.concatenate([[0], ends])[units.offsets.to_numpy() - units.offsets[0].as_py()]
+        other = list(map(self.pieces.__getitem__, pieces.filter(pc.invert(plain)).to_numpy(zero_copy_only=False).tolist()))
+        of_other = np.fromiter(map(len, other), np.int64, len(other)) // 4
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        sizes, begins = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        sizes[is_plain], begins[is_plain] = np.diff(cuts), cuts[:-1]
+        sizes[~is_plain], begins[~is_plain] = of_other, len(ids) + np.cumsum(of_other) - of_other
+        return np.concatenate([ids, np.frombuffer(b"".join(other), "<u4")]), begins, sizes
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and where each text's begin (one more entry: the end)."""
         words = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = words.flatten().dictionary_encode()
-        at = coded.indices.to_numpy()
-        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        pieces = list(map(self.pieces.__getitem__, different))
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4
-        table = np.frombuffer(b"".join(pieces), "<u4")
-        size = sizes[at]
-        ends = np.cumsum(size)
-        # Where in the table each word's ids begin, less where they begin in the result.
-        place = np.repeat((np.cumsum(sizes) - sizes)[at] - (ends - size), size)
-        place += np.arange(len(place))
-        ids = table[place]
+        ids, ends = spread(*self.piece_table(coded.dictionary), coded.indices.to_numpy())
         offsets = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return ids, offsets
 
 
+def spread(table: np.ndarray, begins: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The stretches of ``table`` numbered ``at``, one after the other, and where each ends."""
+    size = sizes[at]
+    ends = np.cumsum(size)
+    # Where in the table a stretch begins, less where it begins in the result.
+    place = np.repeat(begins[at] - (ends - size), size)
+    place += np.arange(len(place))
+    return table[place], ends
+
+
 def packed(ids: list[int]) -> bytes:
     return array("I", ids).tobytes()
 
