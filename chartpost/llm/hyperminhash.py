@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartpost.llm.components import connected_components
-from chartpost.llm.tables import broadcast_if_bounded, session, store
+from chartpost.llm.tables import broadcast_if_bounded, session, shuffles_freed, store
 
 SEED = 42
 SHINGLE_WORDS = 2
@@ -26,10 +26,9 @@ BUCKETS = 1 << BUCKET_BITS
 BANDS, ROWS = 42, 6
 # Standard errors below SIMILAR at which an estimate still sends a pair to verification.
 ERRORS = 5.0
-# Buckets of more members are compared in blocks of so many, with their registers at hand.
-SMALL, CHUNK = 64, 1024
-# Leaders that a bucket's members are compared with before any other pairs are.
-STARS = 2
+# Buckets of more members are compared in blocks of so many, with their registers at hand;
+# whole sets are compared in blocks of no more members, and about so many hashes.
+SMALL, CHUNK, BLOCK_HASHES = 64, 1024, 1 << 20
 KNOWN_WORDS = 200_000
 
 _RNG = np.random.default_rng(SEED)
@@ -144,10 +143,16 @@ def estimated(one: np.ndarray, others: np.ndarray, sizes: np.ndarray) -> tuple[n
 
 
 def may_be_similar(one: np.ndarray, others: np.ndarray, n_one: np.ndarray, n_others: np.ndarray) -> np.ndarray:
-    """Pairs that go to verification: sizes allow SIMILAR, and the estimate is near it or above."""
+    """Pairs that go to verification: sizes allow SIMILAR, and the estimate is near it or above.
+
+    Buckets draw hashes of the union without putting any back, so an estimate that rests
+    on most of them errs less.
+    """
     similarity, used = estimated(one, others, np.sqrt(n_one * n_others.astype(np.float64)))
     goal = SIMILAR / 100
-    near = similarity >= goal - ERRORS * np.sqrt(goal * (1 - goal) / np.maximum(used, 1))
+    union = (n_one + n_others) / (1 + goal)
+    spread = goal * (1 - goal) / np.maximum(used, 1) * np.maximum(1 - used / union, 0.1)
+    near = similarity >= goal - ERRORS * np.sqrt(spread)
     return near & (100 * np.minimum(n_one, n_others) >= SIMILAR * np.maximum(n_one, n_others))
 
 
@@ -188,16 +193,19 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good))
 
 
+def similar(one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether two whole sets (sorted) share enough of what they hold together."""
+    many, few = (one, other) if len(one) >= len(other) else (other, one)
+    at = np.searchsorted(many, few)
+    both = int((many[np.minimum(at, len(many) - 1)] == few).sum())
+    return 100 * both >= SIMILAR * (len(many) + len(few) - both)
+
+
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        good = []
-        for one, other in zip(batch.column(2), batch.column(3)):
-            a, b = (np.frombuffer(x.as_py(), np.uint64) for x in (one, other))
-            if len(a) < len(b):
-                a, b = b, a
-            at = np.searchsorted(a, b)
-            both = int((a[np.minimum(at, len(a) - 1)] == b).sum())
-            good.append(100 * both >= SIMILAR * (len(a) + len(b) - both))
+        good = [
+            similar(*(np.frombuffer(x.as_py(), np.uint64) for x in pair)) for pair in zip(batch.column(2), batch.column(3))
+        ]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
@@ -211,11 +219,15 @@ def _likely_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return held.mapInArrow(_likely, "a long, b long")
 
 
+def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, hashes) of each of the ``wanted`` nodes, which are stored."""
+    held = rows.select("node", "hashes").join(broadcast_if_bounded(wanted), "node", "left_semi")
+    return store(held.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+
+
 def _links(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The stored pairs (a, b) whose whole sets are similar."""
-    needed = store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed-sets")
-    wanted = rows.select("node", "hashes").join(broadcast_if_bounded(needed), "node", "left_semi")
-    sets = store(wanted.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
+    sets = _sets(rows, store(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "needed-sets"))
     one = sets.select(F.col("node").alias("a"), F.col("hashes").alias("one"))
     other = sets.select(F.col("node").alias("b"), F.col("hashes").alias("other"))
     held = pairs.join(other, "b").join(one, "a").select("a", "b", "one", "other")
@@ -227,7 +239,11 @@ def _ordered(a: str | Column, b: str | Column) -> list[Column]:
 
 
 def _cross(group: pa.Table) -> pa.Table:
-    """Likely pairs between the outsiders and the members of one block, in different components."""
+    """Pairs that connect what is likely similar between outsiders and members of one block.
+
+    Only rows in different components are compared.  Of the likely pairs those are
+    handed on that connect something not connected by others, one a row at most.
+    """
     outside = group["outsider"].to_numpy(zero_copy_only=False)
     sides = []
     for keep in (outside, ~outside):
@@ -235,17 +251,61 @@ def _cross(group: pa.Table) -> pa.Table:
         found = _registers_of(rows["registers"].combine_chunks())
         sides.append((rows["node"].to_numpy(), rows["n"].to_numpy(), rows["root"].to_numpy(), found))
     (node, n, root, found), (nodes, ns, roots, others) = sides
+    label = np.arange(len(node) + len(nodes))
     pairs = [np.zeros((0, 2), np.int64)]
     for at in range(len(node)):
         there = np.flatnonzero(roots != root[at])
         good = there[may_be_similar(found[at : at + 1], others[there], n[at : at + 1], ns[there])]
-        pairs.append(np.stack([np.full(len(good), node[at]), nodes[good]], axis=1))
+        labels, first = np.unique(label[len(node) + good], return_index=True)
+        fresh = labels != label[at]
+        to = nodes[good[first[fresh]]]
+        pairs.append(np.stack([np.full(len(to), node[at]), to], axis=1))
+        label[np.isin(label, labels[fresh])] = label[at]
     both = np.sort(np.concatenate(pairs), axis=1)
     return pa.table([both[:, 0], both[:, 1]], ["a", "b"])
 
 
+def _compare(group: pa.Table) -> pa.Table:
+    """Links between two blocks of a cluster, or within one: likely pairs, verified on whole sets."""
+    left, right = (group.filter(pa.array(group[side].to_numpy(zero_copy_only=False))) for side in ("left", "right"))
+    node, n, root = (left[name].to_numpy() for name in ("node", "n", "root"))
+    nodes, ns, roots = (right[name].to_numpy() for name in ("node", "n", "root"))
+    found, others = (_registers_of(side["registers"].combine_chunks()) for side in (left, right))
+    sets, other_sets = ([np.frombuffer(x, np.uint64) for x in side["hashes"].to_pylist()] for side in (left, right))
+    pairs = []
+    for at in range(len(node)):
+        there = np.flatnonzero((roots != root[at]) & (nodes != node[at]))
+        good = there[may_be_similar(found[at : at + 1], others[there], n[at : at + 1], ns[there])]
+        pairs += [(node[at], nodes[k]) for k in good if similar(sets[at], other_sets[k])]
+    both = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+    return pa.table([both[:, 0], both[:, 1]], ["a", "b"])
+
+
+def _cluster_links(likely: DataFrame, placed: DataFrame, nodes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Links between nodes in different components (``placed``: node, root) that ``likely`` pairs connect.
+
+    What likely pairs connect is a cluster.  Its nodes are dealt into blocks of bounded
+    size, and each pair of blocks is a group that holds every set once, however many
+    pairs it compares.
+    """
+    clusters = store(connected_components(likely).withColumnRenamed("root", "cluster"), "clusters")
+    sets = _sets(rows, clusters.select("node"))
+    held = clusters.join(nodes.select("node", "n", "registers"), "node").join(placed, "node")
+    sizes = clusters.join(nodes.select("node", "n"), "node").groupBy("cluster").agg(
+        F.ceil(F.greatest(F.sum("n") / BLOCK_HASHES, F.count(F.lit(1)) / CHUNK)).cast("int").alias("blocks")
+    )
+    dealt = held.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    paired = dealt.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("block", "other"), F.greatest("block", "other")
+    sided = paired.select(
+        "cluster", i.alias("i"), j.alias("j"), "node", "n", "root", "registers", "hashes",
+        (F.col("block") == i).alias("left"), (F.col("block") == j).alias("right"),
+    )
+    return store(sided.groupBy("cluster", "i", "j").applyInArrow(_compare, "a long, b long").distinct(), "similar")
+
+
 def _block_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Likely pairs in large buckets: each member outside the main component beside all members.
+    """Pairs that connect what is likely similar in large buckets: outsiders beside all members.
 
     Both sides are dealt into blocks of about CHUNK by hash, and each pair of blocks is a
     group, so a bucket that holds most rows is many bounded groups, and none is cut.
@@ -269,43 +329,43 @@ def _block_pairs(open_: DataFrame, nodes: DataFrame) -> DataFrame:
 def similar_links(nodes: DataFrame, rows: DataFrame) -> DataFrame:
     """Links (a, b) that connect all nodes of similar sets which share a band.
 
-    In each band's bucket the members are first compared with a leader, and those that
-    this has not joined to the bucket's main component with further ones out of it.  What
-    then still lies in different components of a bucket is compared pair by pair.  So
-    a large group of near copies costs a few comparisons a member, and no pair of a bucket
+    Each node is first compared with the leader that it shares most buckets with.  A
+    bucket's leader is its member with most neighbours: in a group of near copies, the text
+    they were made from.  What then still lies in different components of a bucket is
+    compared pair by pair, by registers and, where those say so, by whole sets.  So a
+    large group of near copies costs one comparison a member, and no pair of a bucket
     is left out unless links already connect it.
     """
     entries = store(nodes.select("node", F.explode("keys").alias("key")), "band-entries")
-    shared = entries.groupBy("key").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     members = store(entries.join(shared, "key"), "band-members")
-    stars = members.where("node <> leader").select(*_ordered("leader", "node")).distinct()
-    links = _links(store(_likely_pairs(stars, nodes), "likely"), rows)
-    members = members.select("key", "node", "members")
-    for turn in range(1, STARS + 1):
-        roots = store(connected_components(links), "similar-roots")
-        placed = members.join(roots, "node", "left").select("key", "node", "members", F.coalesce("root", "node").alias("root"))
-        placed = store(placed, "band-places")
-        sizes = placed.groupBy("key", "root").agg(
-            F.count(F.lit(1)).alias("size"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("leader")
-        )
-        main = sizes.groupBy("key").agg(
-            F.max(F.struct("size", "root", "leader")).alias("main"), F.count(F.lit(1)).alias("n_roots")
-        )
-        main = main.where("n_roots > 1").select("key", F.col("main.root").alias("main"), F.col("main.leader").alias("leader"))
-        # Buckets that lie in one component are done with.
-        open_ = store(
-            placed.join(main, "key").withColumn("outsider", F.col("root") != F.col("main")), "open-buckets"
-        )
-        if turn < STARS:
-            members = open_.select("key", "node", "members")
-            pairs = open_.where("outsider").select(*_ordered("leader", "node")).distinct()
-            links = links.unionByName(_links(store(_likely_pairs(pairs, nodes), "likely"), rows))
+    central = members.groupBy("node").agg(F.sum("members").alias("central"))
+    leaders = members.join(central, "node").groupBy("key").agg(F.max_by("node", F.struct("central", "node")).alias("leader"))
+    pairs = _with_leaders(members.join(leaders, "key"))
+    links = _links(store(_likely_pairs(pairs, nodes), "likely"), rows)
+
+    roots = store(connected_components(links), "similar-roots")
+    placed = members.join(roots, "node", "left").select("key", "node", "members", F.coalesce("root", "node").alias("root"))
+    placed = store(placed, "band-places")
+    sizes = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("size", "root")).alias("main"), F.count(F.lit(1)).alias("n_roots"))
+    # Buckets that lie in one component are done with.
+    main = main.where("n_roots > 1").select("key", F.col("main.root").alias("main"))
+    open_ = store(placed.join(main, "key").withColumn("outsider", F.col("root") != F.col("main")), "open-buckets")
     small = open_.where(F.col("members") <= SMALL)
     left = small.where("outsider").select("key", F.col("node").alias("x"), F.col("root").alias("rx"))
     right = small.select("key", F.col("node").alias("y"), F.col("root").alias("ry"))
     pairs = left.join(right, "key").where("rx <> ry").select(*_ordered("x", "y")).distinct()
-    likely = _likely_pairs(pairs, nodes).unionByName(_block_pairs(open_.where(F.col("members") > SMALL), nodes))
-    return links.unionByName(_links(store(likely, "likely"), rows))
+    blocks = _block_pairs(open_.where(F.col("members") > SMALL), nodes)
+    likely = store(_likely_pairs(pairs, nodes).unionByName(blocks), "likely")
+    return links.unionByName(_cluster_links(likely, open_.select("node", "root").distinct(), nodes, rows))
+
+
+def _with_leaders(members: DataFrame) -> DataFrame:
+    """One pair (a, b) per node: with the leader of most of its buckets, the least of equals."""
+    met = members.where("node <> leader").groupBy("node", "leader").agg((-F.count(F.lit(1))).alias("fewest"))
+    best = met.groupBy("node").agg(F.min(F.struct("fewest", "leader")).alias("best"))
+    return best.select(*_ordered("node", "best.leader")).distinct()
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -322,15 +382,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     a null doc_id never names a component unless all its members have none.  An empty
     table gives no rows.
     """
-    session(documents.sparkSession)
+    spark = session(documents.sparkSession)
     rows = store(sketches(documents), "sketches")
-    nodes = store(
-        rows.where("n > 0").groupBy("node").agg(
-            F.min("doc_id").alias("first_id"), *[F.first(name).alias(name) for name in ("n", "registers", "keys")]
-        ),
-        "sketch-nodes",
-    )
-    roots = store(connected_components(similar_links(nodes, rows)), "near-roots")
+    with shuffles_freed(spark):
+        nodes = store(
+            rows.where("n > 0").groupBy("node").agg(
+                F.min("doc_id").alias("first_id"), *[F.first(name).alias(name) for name in ("n", "registers", "keys")]
+            ),
+            "sketch-nodes",
+        )
+        roots = store(connected_components(similar_links(nodes, rows)), "near-roots")
     joined = nodes.select("node", "first_id").join(roots, "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root")
     )
