@@ -30,18 +30,19 @@ from chartpost.operators.skew import plain_side
 from chartpost.plans import bindings as b
 from chartpost.plans.jobs import (
     Endpoint,
+    register_patients,
     reprocess_dead_letters,
     reprocess_endpoint,
     run_delivery_batch,
     score_and_deliver,
     validate_run,
 )
-from chartpost.plans.scripted import scripted_transport
+from chartpost.plans.scripted import scripted_patients, scripted_transport
 from chartpost.policies import Breaker, Retries
 from chartpost.schemas import DELIVERY_KEY, QUEUE
 from chartpost.session import prepare_session, shared_dir
 from chartpost.sources.routes import with_route
-from chartpost.sources.tables import Workspace, demo_rows, ensure_tables, read_table
+from chartpost.sources.tables import Workspace, demo_rows, ensure_tables, read_table, replace_batch
 from chartpost.streaming.ready import refresh_ready
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -881,6 +882,29 @@ def score_delivery_job(spark, d):
     return summary.drop("batch_id", "finished_at")
 
 
+@query
+def patient_create_job(spark, d):
+    """Patients the map does not hold, created through the endpoint in two batches.
+
+    The second batch asks again for those who failed; the endpoint refuses them again.
+    """
+    workspace = new_workspace(spark)
+    endpoint = replace(_endpoint(), open_transport=scripted_patients())
+    registered = b.patient_map(spark, d).withColumns(
+        {
+            "endpoint": F.lit(endpoint.base_url),
+            "status": F.lit(patients.KNOWN),
+            "error_message": F.lit(None),
+            "attempted_at": F.lit(None),
+        }
+    )
+    replace_batch(registered, workspace, "patient_links", batch_id="seed")
+    for batch_id in ("p1", "p2"):
+        register_patients(spark, workspace, b.patients(spark, d), endpoint, batch_id)
+    links = read_table(spark, workspace, "patient_links").where("batch_id <> 'seed'")
+    return links.select("batch_id", "patient_id", "status", "endpoint_patient_id", "error_message")
+
+
 @query
 def delivery_rerun(spark, d):
     """A second batch sends only what has not succeeded; no key is added."""

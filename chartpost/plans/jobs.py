@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,12 +43,20 @@ from chartpost.operators.ledger import (
 )
 from chartpost.operators.normalize import to_observations, with_key, with_request
 from chartpost.operators.outcomes import (
+    CIRCUIT_OPEN,
     classify_responses,
     dead_letter_outcomes,
     gated_outcomes,
     resolve_attempts,
 )
-from chartpost.operators.patients import mark_unmapped
+from chartpost.operators.patients import (
+    IDENTIFIER_SYSTEM,
+    create_outcomes,
+    create_requests,
+    known_patients,
+    mark_unmapped,
+    patients_to_create,
+)
 from chartpost.operators.reports import (
     batch_summary,
     latest,
@@ -56,7 +64,14 @@ from chartpost.operators.reports import (
     validation_summary,
 )
 from chartpost.policies import BATCH_RETRY, REPROCESS_RETRY, Breaker, Retries
-from chartpost.schemas import DEAD_LETTERED, DELIVERY_KEY, OBSERVATION, REPROCESSED, SUCCESS
+from chartpost.schemas import (
+    DEAD_LETTERED,
+    DELIVERY_KEY,
+    FAILED,
+    OBSERVATION,
+    REPROCESSED,
+    SUCCESS,
+)
 from chartpost.session import prepare_session
 from chartpost.sources.routes import ROUTES, Route, check_route
 from chartpost.sources.tables import (
@@ -148,6 +163,18 @@ def _addressed(observations: DataFrame, endpoint: Endpoint) -> DataFrame:
     )
 
 
+def _circuit(
+    spark: SparkSession, workspace: Workspace, endpoint: Endpoint, now: Column
+) -> DataFrame:
+    """The endpoint's circuit: one row, or none where it is closed or not watched."""
+    snapshots = read_table(spark, workspace, "circuit_snapshots").where(
+        F.col("endpoint") == endpoint.base_url
+    )
+    if endpoint.circuit is None:
+        return F.broadcast(with_state(latest_counts(snapshots.limit(0)), now))
+    return F.broadcast(with_state(latest_counts(snapshots), now, endpoint.circuit))
+
+
 def _write_plan(
     spark: SparkSession,
     workspace: Workspace,
@@ -157,16 +184,7 @@ def _write_plan(
 ) -> None:
     """Gate the classified keys and store them; skipped keys without their observation."""
     now = F.current_timestamp()
-    snapshots = read_table(spark, workspace, "circuit_snapshots").where(
-        F.col("endpoint") == endpoint.base_url
-    )
-    policy = endpoint.circuit
-    if policy is None:  # no circuit: every endpoint is closed
-        states = F.broadcast(with_state(latest_counts(snapshots.limit(0)), now))
-    else:
-        # One endpoint, so one row.
-        states = F.broadcast(with_state(latest_counts(snapshots), now, policy))
-    gated = gate(classified, states).withColumn("planned_at", now)
+    gated = gate(classified, _circuit(spark, workspace, endpoint, now)).withColumn("planned_at", now)
     skipped = F.col("outcome") == DELIVERED
     kept = {*DELIVERY_KEY, "outcome", "occurrences", "effective_date"}
     gated.select(
@@ -178,7 +196,12 @@ def _write_plan(
 
 
 def _send(
-    spark: SparkSession, workspace: Workspace, endpoint: Endpoint, batch_id: str, rows: DataFrame
+    spark: SparkSession,
+    workspace: Workspace,
+    endpoint: Endpoint,
+    batch_id: str,
+    rows: DataFrame,
+    to_requests: Callable[[DataFrame], DataFrame],
 ) -> None:
     """Send wave by wave; a wave that is in the log is not sent again.
 
@@ -206,9 +229,8 @@ def _send(
                     "circuit_last_failure_at": F.lit(last_failure_at).cast("timestamp"),
                 }
             )
-            requests = with_request(due, endpoint.base_url, endpoint.routes)
             attempts = deliver(
-                spread_requests(requests, endpoint.max_concurrency),
+                spread_requests(to_requests(due), endpoint.max_concurrency),
                 endpoint.open_transport,
                 retry=endpoint.retry,
                 circuit=endpoint.circuit,
@@ -244,7 +266,14 @@ def _run_plan(
     """
     plan = spark.read.parquet(plan_path)
     to_send = plan.where(F.col("outcome").isin(NEW, GATED))
-    _send(spark, workspace, endpoint, batch_id, to_send.where(F.col("outcome") == NEW))
+    _send(
+        spark,
+        workspace,
+        endpoint,
+        batch_id,
+        to_send.where(F.col("outcome") == NEW),
+        lambda due: with_request(due, endpoint.base_url, endpoint.routes),
+    )
 
     outcome_path = workspace.path(f"plans/{batch_id}/outcomes")
     if not is_complete(spark, outcome_path):
@@ -452,6 +481,69 @@ def reprocess_endpoint(endpoint: Endpoint) -> Endpoint:
     return replace(endpoint, retry=REPROCESS_RETRY)
 
 
+def register_patients(
+    spark: SparkSession,
+    workspace: Workspace,
+    patients: DataFrame,
+    endpoint: Endpoint,
+    batch_id: str,
+    identifier_system: str = IDENTIFIER_SYSTEM,
+) -> DataFrame:
+    """Create the patients (patient_id, name) that the endpoint has not answered for yet.
+
+    Returns one row per patient asked for in this batch: created, known (there before) or
+    failed, with the endpoint's id.  These rows are the batch's partition of
+    ``patient_links``, which later phases map patients by.  Requests go out in waves
+    like observations, under the same breaker, and a logged wave is not sent again.  A
+    patient who failed is asked for again by the next batch; null ids are not asked for.
+    """
+    _check(spark, batch_id, endpoint)
+    log_id = f"{batch_id}.patients"
+    done = batch_path(workspace, "patient_links", batch_id=log_id)
+    if not is_complete(spark, done):
+        plan_path = workspace.path(f"plans/{log_id}/classified")
+        if not is_complete(spark, plan_path):
+            links = read_table(spark, workspace, "patient_links")
+            known = known_patients(links, endpoint.base_url)
+            missing = patients_to_create(patients, known, identifier_system).withColumns(
+                {
+                    "idempotency_key": F.sha2("if_none_exist", 256),
+                    "ehr_system": F.lit(endpoint.ehr_system),
+                    "api": F.lit(endpoint.api),
+                    "endpoint": F.lit(endpoint.base_url),
+                    "outcome": F.lit(NEW),
+                    "queued_at": F.lit(None).cast("timestamp"),
+                    "effective_datetime": F.lit(None).cast("timestamp"),
+                }
+            )
+            now = F.current_timestamp()
+            gated = gate(missing, _circuit(spark, workspace, endpoint, now))
+            gated.withColumn("planned_at", now).write.mode("overwrite").parquet(plan_path)
+        plan = spark.read.parquet(plan_path)
+        to_send = plan.where(F.col("outcome") == NEW)
+        _send(
+            spark, workspace, endpoint, log_id, to_send,
+            lambda due: create_requests(due, endpoint.base_url),
+        )
+        attempts = read_table(spark, workspace, "attempt_log").where(F.col("batch_id") == log_id)
+        answered = to_send.select("idempotency_key", "patient_id", "endpoint").join(
+            create_outcomes(attempts), "idempotency_key"
+        )
+        held_back = plan.where(F.col("outcome") == GATED).select(
+            "idempotency_key",
+            "patient_id",
+            "endpoint",
+            F.lit(None).cast("string").alias("endpoint_patient_id"),
+            F.lit(FAILED).alias("status"),
+            F.lit(CIRCUIT_OPEN).alias("error_message"),
+            F.col("planned_at").alias("attempted_at"),
+        )
+        _write_snapshot(spark, workspace, endpoint, log_id)
+        rows = answered.unionByName(held_back)
+        write_once(spark, rows, workspace, "patient_links", batch_id=log_id)
+    return read_table(spark, workspace, "patient_links").where(F.col("batch_id") == log_id)
+
+
 def score_and_deliver(
     spark: SparkSession,
     workspace: Workspace,
@@ -462,17 +554,19 @@ def score_and_deliver(
 ) -> DataFrame:
     """Score measurements, map patients to endpoint ids and deliver both observations.
 
-    Measurements that break a rule or whose patient the map does not hold go to the
-    quarantine table, one row each: measurements = total / 2 + quarantined.
+    Measurements that break a rule, or whose patient the map does not hold or holds with
+    several ids, go to the quarantine table, one row each: measurements = total / 2 +
+    quarantined.
     """
     rules = cohort_rules()
     mapped = mark_unmapped(keep_valid(measurements, rules), patient_map)
     known = F.col("endpoint_patient_id").isNotNull()
-    unmapped = mapped.where(~known).drop("endpoint_patient_id")
+    reason = F.when(F.col("ambiguous"), F.lit("ambiguous_patient")).otherwise(F.lit("mapped_patient"))
+    unmapped = mapped.where(~known).withColumn("failed_rules", reason)
     rejected = quarantine_rows(keep_invalid(measurements, rules)).unionByName(
-        quarantine_rows(unmapped.withColumn("failed_rules", F.lit("mapped_patient")))
+        quarantine_rows(unmapped.drop("endpoint_patient_id", "ambiguous"))
     )
-    scored = score_cohort(mapped.where(known))
+    scored = score_cohort(mapped.where(known).drop("ambiguous"))
     scores = scored.withColumn("patient_id", F.col("endpoint_patient_id"))
     rows = score_observations(scores).withColumn("queued_at", F.col("effective_datetime"))
     return deliver_observations(
@@ -480,6 +574,24 @@ def score_and_deliver(
     )
 
 
+def register_and_score(
+    spark: SparkSession,
+    workspace: Workspace,
+    patients: DataFrame,
+    measurements: DataFrame,
+    endpoint: Endpoint,
+    batch_id: str,
+) -> DataFrame:
+    """Create missing patients, then score and deliver under the ids the endpoint gave them.
+
+    Measurements of patients who could not be created are put aside, not lost.
+    """
+    register_patients(spark, workspace, patients, endpoint, batch_id)
+    links = read_table(spark, workspace, "patient_links")
+    known = known_patients(links, endpoint.base_url)
+    return score_and_deliver(spark, workspace, measurements, known, endpoint, batch_id)
+
+
 def compact_ledger(spark: SparkSession, workspace: Workspace, target: Workspace) -> None:
     """Write the current view into another workspace, which then takes over.
 

@@ -952,6 +952,23 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
               FROM (SELECT *, h % 11 <> 0 AND ((h * 31) % 10 < 6 OR (h * 31 + 17) % 10 < 6
                                                OR (h * 31 + 34) % 10 < 6) AS won FROM score_keys))""",
     ),
+    "patient_create_job": (
+        "people registered",
+        """WITH asked AS (
+          SELECT *, ('0x' || substr(sha256('identifier=urn:chartpost:patient|' || patient_id), 1, 4))::INTEGER AS h
+          FROM people ANTI JOIN registered USING (patient_id)
+        ), answered AS (
+          SELECT *, h % 7 <> 0 AS won FROM asked
+        )
+        SELECT 'p1.patients' AS batch_id, patient_id,
+          CASE WHEN NOT won THEN 'failed' WHEN h % 4 = 0 THEN 'known' ELSE 'created' END AS status,
+          CASE WHEN won THEN 'fhir-' || patient_id END AS endpoint_patient_id,
+          CASE WHEN NOT won THEN 'HTTP 503: busy ' || (h % 5) END AS error_message
+        FROM answered
+        UNION ALL
+        SELECT 'p2.patients', patient_id, 'failed', NULL, 'HTTP 503: busy ' || (h % 5)
+        FROM answered WHERE NOT won""",
+    ),
     "delivery_rerun": (
         "sent unsendable",
         """SELECT batch_id, distinct_keys, succeeded, skipped, 0::BIGINT AS failed, dead_lettered,

@@ -28,3 +28,24 @@ def scripted_transport(first_attempt: int = 0) -> OpenTransport:
         return send
 
     return open_transport
+
+
+def scripted_patients() -> OpenTransport:
+    """Conditional creates: some refused for good, some patients there before, others made, late."""
+
+    def open_transport() -> Send:
+        calls: Counter[str] = Counter()
+
+        def send(url: str, headers: dict[str, str], body: str) -> tuple[int, str]:
+            request_id = headers["X-Request-Id"]
+            attempt = calls[request_id]
+            calls[request_id] += 1
+            h = int(request_id[:4], 16)
+            if h % 7 == 0 or (h + attempt) % 3 == 0:
+                return 503, f"busy {h % 5}"
+            patient = headers["If-None-Exist"].rpartition("|")[2]
+            return 200 if h % 4 == 0 else 201, f'{{"resourceType":"Patient","id":"fhir-{patient}"}}'
+
+        return send
+
+    return open_transport

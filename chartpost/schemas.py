@@ -89,6 +89,12 @@ CIRCUIT_SNAPSHOTS = _schema(
     batch_id STRING"""
 )
 
+# Answers to patient creates: one row per patient and batch, the id only where there is one.
+PATIENT_LINKS = _schema(
+    """patient_id STRING, endpoint STRING, endpoint_patient_id STRING, status STRING,
+    error_message STRING, attempted_at TIMESTAMP, batch_id STRING"""
+)
+
 # Inputs that cannot be delivered, whatever their columns: row_json holds all of them.
 QUARANTINE = _schema(
     """patient_id STRING, observation_code STRING, effective_datetime TIMESTAMP,
@@ -105,4 +111,5 @@ TABLES = {
     "delivery_batches": (BATCHES, ("batch_id",)),
     "circuit_snapshots": (CIRCUIT_SNAPSHOTS, ("batch_id",)),
     "quarantine": (QUARANTINE, ("batch_id",)),
+    "patient_links": (PATIENT_LINKS, ("batch_id",)),
 }

@@ -43,8 +43,9 @@ def drop_finished_plans(spark: SparkSession, workspace: Workspace) -> int:
     done = [
         entry.getPath()
         for entry in files.listStatus(plans)
-        if is_complete(
-            spark, batch_path(workspace, "delivery_batches", batch_id=entry.getPath().getName())
+        if any(
+            is_complete(spark, batch_path(workspace, table, batch_id=entry.getPath().getName()))
+            for table in ("delivery_batches", "patient_links")
         )
     ]
     for folder in done:
