@@ -11,6 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartpost.operators.backlog import (
+    changed_dates,
+    fold_dates,
+    keys_per_date,
+    on_dates,
+    rows_per_date,
+)
 from chartpost.operators.circuit import (
     advance_circuit,
     circuit_tail,
@@ -78,6 +85,7 @@ from chartpost.sources.tables import (
     Workspace,
     append_rows,
     batch_path,
+    drop_batch,
     is_complete,
     read_table,
     replace_batch,
@@ -408,19 +416,138 @@ def run_delivery_batch(
 ) -> DataFrame:
     """Deliver from the ready table: by default the 100 oldest undelivered keys.
 
-    ``queued_since`` (a date) prunes the ready partitions of a long-lived table.
-    Rows without a deliverable value or instant go to the quarantine table, each once.
+    A batch reads the dates whose rows have changed since the endpoint's last batch, and the
+    keys that batch left over; rows are fetched for the chosen keys only.
+    ``queued_since`` (a date) looks at later ready partitions alone and leaves that
+    state as it is.  Rows without a deliverable value or instant go to the quarantine table,
+    each once.
     """
     ready = read_table(spark, workspace, "observations_ready")
     if queued_since is not None:
         ready = ready.where(F.col("queued_date") >= F.lit(queued_since).cast("date"))
-    ready = ready.drop("queued_date")
-    rules = delivery_rules(ready.columns)
-    rejected = quarantine_rows(keep_invalid(ready, rules))
-    observations = to_observations(keep_valid(ready, rules))
-    return deliver_observations(
-        spark, workspace, observations, endpoint, batch_id, limit, rejected
+        ready = ready.drop("queued_date")
+        rules = delivery_rules(ready.columns)
+        rejected = quarantine_rows(keep_invalid(ready, rules))
+        observations = to_observations(keep_valid(ready, rules))
+        return deliver_observations(
+            spark, workspace, observations, endpoint, batch_id, limit, rejected
+        )
+    _check(spark, batch_id, endpoint)
+    done = _stored_summary(spark, workspace, batch_id)
+    if done is not None:
+        return done
+    plan_path = workspace.path(f"plans/{batch_id}/classified")
+    if not is_complete(spark, plan_path):
+        _refresh_backlog(spark, workspace, endpoint, batch_id, ready)
+        chosen = _choose(spark, workspace, endpoint, batch_id, ready, limit)
+        _write_plan(spark, workspace, chosen, endpoint, plan_path)
+    outcomes, planned = _run_plan(spark, workspace, endpoint, batch_id, plan_path)
+    summary = _finish(spark, workspace, batch_id, outcomes, planned)
+    for old in _backlog_states(spark, workspace, endpoint)[2:]:
+        for table in ("ready_dates", "backlog"):
+            drop_batch(spark, workspace, table, batch_id=old)
+    return summary
+
+
+def _backlog_states(spark: SparkSession, workspace: Workspace, endpoint: Endpoint) -> list[str]:
+    """Batches whose backlog of this endpoint is complete, newest first (a few: old ones go)."""
+    taken = (
+        read_table(spark, workspace, "ready_dates")
+        .where((F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api))
+        .groupBy("batch_id")
+        .agg(F.max("taken_at").alias("taken_at"))
+        .orderBy(F.desc("taken_at"), F.desc("batch_id"))
+    )
+    return [
+        row.batch_id
+        for row in taken.collect()
+        if is_complete(spark, batch_path(workspace, "ready_dates", batch_id=row.batch_id))
+    ]
+
+
+def _keyed_dates(ready: DataFrame, endpoint: Endpoint) -> DataFrame:
+    """Deliverable ready rows, normalised and keyed, with their date."""
+    return _addressed(to_observations(keep_valid(ready, delivery_rules(ready.columns))), endpoint)
+
+
+def _refresh_backlog(
+    spark: SparkSession, workspace: Workspace, endpoint: Endpoint, batch_id: str, ready: DataFrame
+) -> None:
+    """Store what is undelivered as of this batch, from the last batch's state and what changed.
+
+    Rows of changed dates are keyed anew (and put aside where they cannot be delivered);
+    other dates keep their counts, and their undelivered keys are looked up in the ledger
+    again.  The dates are written last, so their marker says that both tables are whole.
+    """
+    if is_complete(spark, batch_path(workspace, "ready_dates", batch_id=batch_id)):
+        return
+    states = [s for s in _backlog_states(spark, workspace, endpoint) if s != batch_id]
+    last = states[0] if states else None
+    dates = read_table(spark, workspace, "ready_dates").where(F.col("batch_id") == last)
+    earlier = read_table(spark, workspace, "backlog").where(F.col("batch_id") == last)
+    counted = rows_per_date(ready)
+    days = changed_dates(counted, dates)
+    fresh = ready.where(on_dates(days))
+    rejected = keep_invalid(fresh.drop("queued_date"), delivery_rules(ready.columns))
+    _quarantine(spark, workspace, quarantine_rows(rejected), batch_id)
+
+    keys_path = workspace.path(f"plans/{batch_id}/fresh_keys")
+    if not is_complete(spark, keys_path):
+        keys_per_date(_keyed_dates(fresh, endpoint)).write.mode("overwrite").parquet(keys_path)
+    fresh_keys = spark.read.parquet(keys_path)
+    per_date = earlier.where(~on_dates(days)).drop("batch_id").unionByName(fresh_keys)
+    ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), per_date.drop("effective_datetime")).where(
+        (F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api)
+    )
+    left = per_date.join(success_keys(ledger), list(DELIVERY_KEY), "left_anti")
+    write_once(spark, left, workspace, "backlog", batch_id=batch_id)
+
+    valid = fresh_keys.groupBy(F.col("queued_date").alias("_date")).agg(F.sum("occurrences").alias("_valid"))
+    kept = dates.where(~on_dates(days)).select(F.col("queued_date").alias("_date"), F.col("n_valid").alias("_valid"))
+    state = counted.join(valid.unionByName(kept), F.col("queued_date").eqNullSafe(F.col("_date")), "left")
+    state = state.withColumns(
+        {
+            "ehr_system": F.lit(endpoint.ehr_system),
+            "api": F.lit(endpoint.api),
+            "n_valid": F.coalesce("_valid", F.lit(0)),
+            "taken_at": F.current_timestamp(),
+        }
+    )
+    write_once(spark, state, workspace, "ready_dates", batch_id=batch_id)
+
+
+def _choose(
+    spark: SparkSession,
+    workspace: Workspace,
+    endpoint: Endpoint,
+    batch_id: str,
+    ready: DataFrame,
+    limit: int | None,
+) -> DataFrame:
+    """The oldest keys of the stored backlog with their rows, and one row of skipped counts.
+
+    What is deliverable but not in the backlog has been delivered.
+    """
+    per_date = read_table(spark, workspace, "backlog").where(F.col("batch_id") == batch_id)
+    path = workspace.path(f"plans/{batch_id}/chosen")
+    if not is_complete(spark, path):
+        folded = fold_dates(per_date).withColumn("outcome", F.lit(NEW))
+        chosen = next_rows(folded, limit).select(*DELIVERY_KEY, "occurrences", "outcome")
+        chosen.write.mode("overwrite").parquet(path)
+    chosen = spark.read.parquet(path)
+    keys = chosen.select(*DELIVERY_KEY)
+    days = per_date.join(keys, list(DELIVERY_KEY), "left_semi").select("queued_date").distinct()
+    dated = ready.where(on_dates([row.queued_date for row in days.collect()]))
+    matching = _keyed_dates(dated, endpoint).drop("queued_date").join(keys, list(DELIVERY_KEY), "left_semi")
+    rows = fold_batch(matching).drop("occurrences").join(chosen, list(DELIVERY_KEY))
+    seen = read_table(spark, workspace, "ready_dates").where(F.col("batch_id") == batch_id)
+    counts = seen.agg(F.coalesce(F.sum("n_valid"), F.lit(0)).alias("_valid")).withColumn("_one", F.lit(1))
+    open_ = per_date.agg(F.coalesce(F.sum("occurrences"), F.lit(0)).alias("_open")).withColumn("_one", F.lit(1))
+    # One row on either side.
+    skipped = counts.join(F.broadcast(open_), "_one").select(
+        (F.col("_valid") - F.col("_open")).alias("occurrences"), F.lit(DELIVERED).alias("outcome")
     )
+    return rows.unionByName(skipped, allowMissingColumns=True)
 
 
 def reprocess_dead_letters(

@@ -95,6 +95,19 @@ PATIENT_LINKS = _schema(
     error_message STRING, attempted_at TIMESTAMP, batch_id STRING"""
 )
 
+# What an endpoint's batches have read of the ready table: visible and deliverable rows per
+# date, and the keys of each date that were not delivered when the batch was planned.
+READY_DATES = _schema(
+    """ehr_system STRING, api STRING, queued_date DATE, n_rows BIGINT, n_valid BIGINT,
+    taken_at TIMESTAMP, batch_id STRING"""
+)
+
+BACKLOG = _schema(
+    """idempotency_key STRING, ehr_system STRING, api STRING, queued_date DATE,
+    occurrences BIGINT, queued_at TIMESTAMP, effective_datetime TIMESTAMP, effective_date DATE,
+    batch_id STRING"""
+)
+
 # Inputs that cannot be delivered, whatever their columns: row_json holds all of them.
 QUARANTINE = _schema(
     """patient_id STRING, observation_code STRING, effective_datetime TIMESTAMP,
@@ -112,4 +125,6 @@ TABLES = {
     "circuit_snapshots": (CIRCUIT_SNAPSHOTS, ("batch_id",)),
     "quarantine": (QUARANTINE, ("batch_id",)),
     "patient_links": (PATIENT_LINKS, ("batch_id",)),
+    "ready_dates": (READY_DATES, ("batch_id",)),
+    "backlog": (BACKLOG, ("batch_id",)),
 }

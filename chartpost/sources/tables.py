@@ -115,6 +115,12 @@ def write_once(
         replace_batch(df, workspace, table, **partition)
 
 
+def drop_batch(spark: SparkSession, workspace: Workspace, table: str, **partition: object) -> None:
+    """Delete one partition of a state table that a later one has replaced."""
+    folder, files = _folder(spark, batch_path(workspace, table, **partition))
+    files.delete(folder, True)
+
+
 def demo_rows(index: DataFrame, column: str = "index") -> DataFrame:
     """Deterministic queue rows, one per index value.
 
