@@ -116,22 +116,17 @@ class Model:
         return np.where(allowed | none[:, None], sums, sums.min(axis=1, keepdims=True) + NOT_IN_SCRIPT)
 
 
-def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
-    """Language of each word: greatest sum of scores less ``switch`` per change.
+def forward(scores: np.ndarray, value: list[float] | None, switch: float) -> tuple[list[float], np.ndarray]:
+    """Best sums that end in each language after these words, and where each word's came from.
 
-    Ties stay with the language of the next word, then go to the first language.  Where no
-    stretch of words gains more than one switch over the best single language, that
-    language is the whole path: leaving it for k languages costs at least k switches.
+    ``value`` holds the sums after the words before; None at the beginning of a text.
     """
-    totals = scores.sum(axis=0)
-    best = int(np.argmax(totals))
-    gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
-    low = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
-    if ((gain - low) <= switch).all():
-        return np.full(len(scores), best, np.int64)
-    value = scores[0].tolist()
     back = np.zeros(scores.shape, np.int32)
-    for at, row in enumerate(scores[1:].tolist(), 1):
+    rows = scores.tolist()
+    at = 0
+    if value is None:
+        value, at = rows[0], 1
+    for at, row in enumerate(rows[at:], at):
         top = max(value)
         lead = value.index(top)
         jump = top - switch
@@ -142,21 +137,55 @@ def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
             else:
                 back[at, k] = lead
                 value[k] = jump + row[k]
-    path = np.empty(len(scores), np.int64)
-    path[-1] = value.index(max(value))
-    for at in range(len(scores) - 1, 0, -1):
-        path[at - 1] = back[at, path[at]]
-    return path
+    return value, back
+
+
+def traced(value: list[float], backs: list[np.ndarray]) -> list[np.ndarray]:
+    """The path behind the best of the last sums, for each part of the words."""
+    now, paths = value.index(max(value)), []
+    for back in reversed(backs):
+        path = np.empty(len(back), np.int64)
+        for at in range(len(back) - 1, -1, -1):
+            path[at] = now
+            now = back[at, now]
+        paths.append(path)
+    return paths[::-1]
+
+
+def best_path(scores: np.ndarray, switch: float = SWITCH) -> np.ndarray:
+    """Language of each word: greatest sum of scores less ``switch`` per change.
+
+    Ties stay with the language of the next word, then go to the first language.  Where
+    every stretch of words gains less than half a switch over the best single language, that
+    language is the whole path: a path of k languages without it has k - 1 changes, and
+    one with it has a change for each stretch that leaves it.
+    """
+    totals = scores.sum(axis=0)
+    best = int(np.argmax(totals))
+    gain = np.cumsum(scores - scores[:, best : best + 1], axis=0)
+    low = np.minimum.accumulate(np.vstack([np.zeros((1, scores.shape[1])), gain[:-1]]), axis=0)
+    if ((gain - low) < switch / 2).all():
+        return np.full(len(scores), best, np.int64)
+    value, back = forward(scores, None, switch)
+    return traced(value, [back])[0]
 
 
 def spans_of(text: str, model: Model, switch: float = SWITCH) -> list[tuple[int, int, int, int]]:
-    """(start, end, language index, letters) of runs of words in one language, in order."""
+    """(start, end, language index, letters) of runs of words in one language, in order.
+
+    The sums of a long text are carried from part to part, so where it is cut changes nothing.
+    """
+    found = [(at, words) for at, words in ((at, words_of(part)) for at, part in parts(text)) if words is not None]
+    if len(found) == 1:
+        paths = [best_path(model.scores(found[0][1]), switch)]
+    else:
+        value, backs = None, []
+        for _, words in found:
+            value, back = forward(model.scores(words), value, switch)
+            backs.append(back)
+        paths = traced(value, backs) if found else []
     out: list[tuple[int, int, int, int]] = []
-    for at, part in parts(text):
-        words = words_of(part)
-        if words is None:
-            continue
-        path = best_path(model.scores(words), switch)
+    for (at, words), path in zip(found, paths):
         change = np.concatenate([[0], np.flatnonzero(np.diff(path)) + 1])
         last = np.concatenate([change[1:], [len(path)]]) - 1
         size = np.add.reduceat(words.ends - words.begins, change)
@@ -239,8 +268,8 @@ def label_languages(documents: DataFrame, model: Model) -> DataFrame:
 
     Spans are in code points, end exclusive.  A text that is null, empty or without a
     letter, and any text when no language was learned, is ``und`` with score 0 and no
-    spans; ties go to the first language by name.  Very long texts are labelled in
-    pieces of SLICE_CHARS cut between words.  Repeated rows are labelled each.
+    spans; ties go to the first language by name.  Very long texts are read in pieces of
+    SLICE_CHARS cut between words and labelled as one.  Repeated rows are labelled each.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(_predict(model), "doc_id long, lang_pred string, score double, lang_spans string")

@@ -272,6 +272,31 @@ def test_viterbi_paths_are_best(switch):
         assert total == pytest.approx(plain_path(scores.tolist(), switch))
 
 
+def test_a_path_without_the_best_single_language():
+    # Staying in the first language sums to 0, changing once between the others to 8.
+    scores = np.array([[0.0, 9.0, -20.0], [0.0, -20.0, 9.0]])
+    assert language_spans.best_path(scores, 10.0).tolist() == [1, 2]
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        steady = np.zeros((rng.integers(2, 12), 3))
+        steady[:, 1:] = rng.choice([-20.0, 4.0, 5.0, 9.0], (len(steady), 2))
+        path = language_spans.best_path(steady, 10.0)
+        total = steady[np.arange(len(path)), path].sum() - 10.0 * (np.diff(path) != 0).sum()
+        assert total == pytest.approx(plain_path(steady.tolist(), 10.0))
+
+
+def test_where_a_long_text_is_cut_changes_nothing(spark, monkeypatch):
+    table = spark.createDataFrame(labelled(), "doc_id long, text string, lang string")
+    model = language_spans.learn(table.select("lang", "text"))
+    rng = random.Random(2)
+    words = [w for k in ("en", "de", "ru") for w in SAMPLES[k].split()]
+    text = " ".join(rng.choice(words) for _ in range(400)) + ". " + SAMPLES["de"]
+    whole = {switch: language_spans.spans_of(text, model, switch) for switch in (0.5, 3.0, 10.0)}
+    for size in (1, 30, 500):
+        monkeypatch.setattr(language_spans, "SLICE_CHARS", size)
+        assert {switch: language_spans.spans_of(text, model, switch) for switch in whole} == whole
+
+
 def test_spans_of_mixed_text(spark, monkeypatch):
     table = spark.createDataFrame(labelled(), "doc_id long, text string, lang string")
     model = language_spans.learn(table.select("lang", "text"))

@@ -26,14 +26,17 @@ def vectors():
 
 
 def plain_top(rows, k):
-    sound = {}
-    for vec_id, v in rows:
-        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            sound[vec_id] = [math.floor(64 * float(np.float32(x))) for x in v]
+    """Every row is a vector of its own, also where rows share an id."""
+    sound = [
+        (vec_id, [math.floor(64 * float(np.float32(x))) for x in v])
+        for vec_id, v in rows
+        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
     out = []
-    for q in sound:
+    for at, (q, asked) in enumerate(sound):
         if q % 20 == 0:
-            scored = [(-sum(a * b for a, b in zip(sound[q], v)), i) for i, v in sound.items() if i != q and len(v) == len(sound[q])]
+            others = [(i, v) for n, (i, v) in enumerate(sound) if n != at and len(v) == len(asked)]
+            scored = [(-sum(a * b for a, b in zip(asked, v)), i) for i, v in others]
             out += [(q, rank, i, -s) for rank, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out)
 
@@ -47,6 +50,16 @@ def test_top_k(spark, monkeypatch, k):
     assert sorted(map(tuple, got)) == plain_top(vectors(), k)
 
 
+def test_large_components_and_unlike_rows_of_one_id(spark):
+    rows = [(0, [float(1 << 20)] * 64), (0, [1.0] * 64), (1, [float(1 << 20)] * 64), (2, [1.0] * 64)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, exact_topk.top_k(table, F.col("vec_id") == 0, 1).collect()))
+    assert got == [(0, 1, 0, 1 << 38), (0, 1, 1, 1 << 58)]
+    wide = spark.createDataFrame([(0, [float(1 << 24)] * 64), (1, [float(1 << 24)] * 64)], table.schema)
+    with pytest.raises(ValueError):
+        exact_topk.top_k(wide, F.col("vec_id") == 0, 1)
+
+
 def test_top_k_of_nothing(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert exact_topk.top_k(empty, F.col("vec_id") % 20 == 0, 3).count() == 0
