@@ -22,6 +22,8 @@ def _points(*conditions: Column) -> Column:
     return total
 
 
+# Fixed values from here on: the thresholds of both scores and of the risk levels, and the
+# wording of criteria and summary.
 def _sirs_conditions(m) -> list[Column]:
     return [
         (m("temperature_c") > 38.0) | (m("temperature_c") < 36.0),
