@@ -78,15 +78,15 @@ WITH RECURSIVE rules AS (
   SELECT * FROM (VALUES ('net/', 'block'), ('example.net/en/', 'allow'), ('example.com/de/', 'block'),
                         ('org/fr/', 'allow')) AS t(rule, verdict)
 ), tags AS (
-  SELECT url, unnest([
-    CASE WHEN canon IS NOT NULL THEN trim(regexp_extract(canon, '(?is)\bhref\s*=\s*["'']?([^"''>\s]*)', 1)) END,
-    CASE WHEN fresh IS NOT NULL THEN regexp_extract(regexp_extract(fresh, '(?is)\bcontent\s*=\s*"([^"]*)"', 1),
-                                                   '(?is)\burl\s*=\s*[''"]?([^''"]*)', 1) END]) AS link
-  FROM (
-    SELECT url,
-      list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b'))[1] AS canon,
-      list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'), lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b'))[1] AS fresh
-    FROM pages)
+  SELECT url, unnest(list_concat(
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<link\b[^>]*>'),
+                               lambda x: regexp_matches(x, '(?is)\brel\s*=\s*["'']?[^"''>]*\bcanonical\b')),
+                   lambda x: trim(regexp_extract(x, '(?is)\bhref\s*=\s*["'']?([^"''>\s]*)', 1))),
+    list_transform(list_filter(regexp_extract_all(html, '(?is)<meta\b[^>]*>'),
+                               lambda x: regexp_matches(x, '(?is)\bhttp-equiv\s*=\s*["'']?refresh\b')),
+                   lambda x: regexp_extract(regexp_extract(x, '(?is)\bcontent\s*=\s*"([^"]*)"', 1),
+                                            '(?is)\burl\s*=\s*[''"]?([^''"]*)', 1)))) AS link
+  FROM pages
 ), ends AS (
   SELECT url, CASE
       WHEN link = '' OR starts_with(link, '#') THEN NULL

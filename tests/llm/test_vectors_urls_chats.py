@@ -127,9 +127,48 @@ def test_no_rules(spark):
     assert [tuple(r) for r in judge_urls(table, ()).collect()] == [(1, "a.net", "/x", None, "allow")]
 
 
-def test_rules_are_bounded():
-    with pytest.raises(ValueError, match="at most"):
-        url_aliases.rule_of([RULES[0]] * 1001, "h", "p")
+def test_joined_rules_judge_like_an_expression(spark):
+    """A table of 100,000 rules, most for hosts that no page has, many for one host."""
+    rng = random.Random(4)
+    hosts = ["a.com", "x.a.com", "com", "", "b.org", "x.b.org.", "net"]
+    own = {(v, f"{h}/{p}") for h in hosts for p in ("", "en", "en/", "en/1", "fr/é") for v in ("block", "allow") if rng.random() < 0.4}
+    own |= {("block", "a.com"), ("block", "b.org/en"), ("allow", "b.org/en")}
+    urls = [f"http://{s}{h}/{p}" for s in ("", "y.") for h in hosts for p in ("", "en", "en/12", "fr/é?x", "EN/")]
+    pages = spark.createDataFrame([(i, u, "<p>") for i, u in enumerate([*urls, *urls, None, "none"])], "page_id long, url string, html string")
+    few = [Rule(*r) for r in sorted(own)]
+    far = spark.range(100_000).selectExpr("'block' AS verdict", "concat('far', id % 50000, '.example/', id, '/') AS text")
+    hot = spark.range(2_000).selectExpr("'block' AS verdict", "concat('a.com/zz', id) AS text")
+    listed = spark.createDataFrame([*sorted(own), ("block", None)], "verdict string, text string")
+    want = sorted(map(tuple, judge_urls(pages, few).collect()), key=str)
+    assert {v for *_, v in want} == {"block", "allow"}
+    assert sorted(map(tuple, judge_urls(pages, listed.union(far).union(hot)).collect()), key=str) == want
+    long_list = [*few, *[Rule("block", f"far{i}.example/") for i in range(url_aliases.INLINE_RULES)]]
+    assert sorted(map(tuple, judge_urls(pages, long_list).collect()), key=str) == want
+
+
+def test_every_tag_makes_an_edge(spark):
+    """An empty first tag hides nothing, and later tags count as well."""
+    empty = '<link rel="canonical" href=""><link rel="canonical" href="http://bad.net/1">'
+    second = '<link rel=canonical href="http://good.com/"><link rel=canonical href="http://bad.net/2">'
+    third = '<meta http-equiv="refresh" content="5"><meta http-equiv="refresh" content="0; url=http://bad.net/3">'
+    pages = [(1, "http://p.com/1", empty), (2, "http://p.com/2", second), (3, "http://p.com/3", third), (4, "http://good.com/", ""), (5, "http://p.com/5", "<link rel=canonical>")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in judge_urls(table, RULES).collect()}
+    assert got == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
+def test_sql_of_urls_takes_every_tag(spark):
+    duckdb = pytest.importorskip("duckdb")
+    from chartpost.llm.oracle import ORACLE
+
+    pages = [(1, "http://p.com/1", '<link rel="canonical" href=""><link rel="canonical" href="http://bad.net/1">'), (2, "http://p.com/2", None), (3, "http://bad.net/1", "")]
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    connection = duckdb.connect()
+    connection.register("pages", table.toPandas())
+    names = ["page_id", "host", "path", "rule", "verdict"]
+    plain = connection.execute(f"SELECT {', '.join(names)} FROM ({ORACLE['op9_url_aliases']})").fetchall()
+    assert sorted(plain) == sorted(tuple(r) for r in judge_urls(table, RULES).select(*names).collect())
+
 
 
 # --- mixing ---------------------------------------------------------------------------
