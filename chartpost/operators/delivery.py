@@ -5,12 +5,12 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark import BarrierTaskContext, TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartpost.operators.outcomes import CIRCUIT_OPEN
@@ -53,24 +53,85 @@ REQUEST_COLUMNS = (
 
 
 @dataclass
-class _EndpointHealth:
-    """Failures since the last success, as one task sees them."""
+class EndpointHealth:
+    """Failures since the last success, as one task sees them.
 
-    failures: int
-    last_failure: float
+    ``agreed`` and ``agreed_at`` are the failures and the time of the last one that all
+    tasks knew of at their last exchange; ``last_ok`` and ``failed`` (after it) are this
+    task's own since then.
+    """
+
+    agreed: int
+    agreed_at: float
+    last_ok: float | None = None
+    failed: list[float] = field(default_factory=list)
+
+    @property
+    def failures(self) -> int:
+        return len(self.failed) + (self.agreed if self.last_ok is None else 0)
 
     def is_open(self, policy: Breaker, now: float) -> bool:
-        return (
-            self.failures >= policy.limit
-            and now - self.last_failure < policy.rest_seconds
-        )
+        last_failure = self.failed[-1] if self.failed else self.agreed_at
+        return self.failures >= policy.limit and now - last_failure < policy.rest_seconds
 
     def record(self, ok: bool, now: float) -> None:
         if ok:
-            self.failures = 0
+            self.last_ok = now
+            self.failed = []
         else:
-            self.failures += 1
-            self.last_failure = now
+            self.failed.append(now)
+
+
+def merged_health(seen: list[EndpointHealth]) -> EndpointHealth:
+    """What tasks know together: failures of any of them after the last success of any."""
+    last_ok = max((h.last_ok for h in seen if h.last_ok is not None), default=None)
+    failed = [at for h in seen for at in h.failed if last_ok is None or at > last_ok]
+    agreed = max(h.agreed for h in seen) if last_ok is None else 0
+    return EndpointHealth(agreed + len(failed), max([*failed, *(h.agreed_at for h in seen)]))
+
+
+class SharedBreaker:
+    """One breaker over all tasks of a barrier stage.
+
+    ``gather`` takes a message and returns those of all tasks, when all have come.
+    Between two exchanges a task may add failures up to its part of what is left to the
+    limit, at least one; so a dead endpoint gets fewer than limit + tasks requests before
+    every task knows.  A task that has nothing left to send goes on answering.
+    """
+
+    def __init__(self, gather: Callable[[str], list[str]], tasks: int, policy: Breaker, now: float):
+        self.gather, self.tasks, self.policy = gather, tasks, policy
+        self.started = now
+
+    def exchange(self, health: dict[str, EndpointHealth], now: Callable[[], float], done: bool = False) -> bool:
+        """Make ``health`` what all tasks know; whether all of them are done."""
+        own = {name: asdict(h) for name, h in health.items()}
+        answers = [json.loads(m) for m in self.gather(json.dumps({"done": done, "health": own}))]
+        for name in {n for answer in answers for n in answer["health"]}:
+            seen = [EndpointHealth(**a["health"][name]) for a in answers if name in a["health"]]
+            health[name] = merged_health(seen)
+        self.started = now()
+        return all(answer["done"] for answer in answers)
+
+    def is_due(self, state: EndpointHealth, now: float) -> bool:
+        part = max(1, (self.policy.limit - state.agreed) // self.tasks)
+        return len(state.failed) >= part or now - self.started >= self.policy.round_seconds
+
+
+def breaker_tasks(spark: SparkSession, max_concurrency: int, policy: Breaker | None) -> tuple[int, bool]:
+    """How many tasks send at once, and whether they share a breaker.
+
+    Sharing needs all tasks to run together, so there are no more of them than cores, and
+    none where executors come and go by dynamic allocation (barrier stages cannot run
+    there): then each task has a breaker of its own.  A breaker that never rests is
+    never open, and one task has nobody to share with.
+    """
+    if policy is None or not policy.shared or policy.rest_seconds <= 0:
+        return max_concurrency, False
+    if spark.conf.get("spark.dynamicAllocation.enabled", "false") == "true":
+        return max_concurrency, False
+    tasks = min(max_concurrency, spark.sparkContext.defaultParallelism)
+    return tasks, tasks > 1
 
 
 def _accepted(status: int, body: str | None, returns_id: bool) -> bool:
@@ -96,21 +157,30 @@ def deliver(
     token: str | Callable[[], str] = "",
     sleep: Callable[[float], None] = time.sleep,
     clock: Callable[[], float] = time.time,
+    shared: bool = False,
 ) -> DataFrame:
     """Send every row, with inline retries; the result must be written exactly once.
 
     Each task opens one transport and sends one request at a time, so the number of
-    partitions is the number of requests in flight.  The circuit is tracked per task
-    and endpoint, starting from the state the rows bring along.  A token provider is
-    asked on the executor before each request, so that it may renew what expires.
+    partitions is the number of requests in flight.  The circuit is tracked per
+    endpoint, starting from the state the rows bring along: by each task alone, or, when
+    ``shared``, by all of them together.  They then are a barrier stage, which is
+    repeated as a whole (with all its requests) when a task is lost, and which a
+    shuffle of the attempts follows, as Spark gives up on barrier tasks that write.
+    A token provider is asked on the executor before each request, so that it may
+    renew what expires.
     """
     delays = retry.schedule()
     ship_package(requests.sparkSession)
 
     def send_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         send = open_transport()
-        health: dict[str, _EndpointHealth] = {}
+        health: dict[str, EndpointHealth] = {}
         context = TaskContext.get()
+        breaker = None
+        if shared:
+            barrier = BarrierTaskContext.get()
+            breaker = SharedBreaker(barrier.allGather, len(barrier.getTaskInfos()), circuit, clock())
         seq = (context.partitionId() if context else 0) << 33
 
         def log_row(request: dict, attempt: int, now: float, **result) -> dict:
@@ -127,13 +197,13 @@ def deliver(
             return row
 
         def send_one(request: dict) -> Iterator[dict]:
-            state = health.get(request["endpoint"])
-            if state is None:
+            name = request["endpoint"]
+            if name not in health:
                 known = request["circuit_last_failure_at"]
-                state = health[request["endpoint"]] = _EndpointHealth(
+                health[name] = EndpointHealth(
                     request["circuit_failures"] or 0, known.timestamp() if known else 0.0
                 )
-            if circuit and state.is_open(circuit, clock()):
+            if circuit and health[name].is_open(circuit, clock()):
                 gated = log_row(request, 0, clock(), transport_error=CIRCUIT_OPEN, ok=False)
                 yield {**gated, "gated": True}
                 return
@@ -150,7 +220,9 @@ def deliver(
                     error = str(exc) or type(exc).__name__
                 ok = status is not None and _accepted(status, body, request["returns_id"])
                 now = clock()
-                state.record(ok, now)
+                health[name].record(ok, now)
+                if breaker and breaker.is_due(health[name], now):
+                    breaker.exchange(health, clock)
                 yield log_row(
                     request,
                     attempt,
@@ -165,7 +237,7 @@ def deliver(
                 if not retry.again(status):
                     return
                 sleep(delays[attempt])
-                if circuit and state.is_open(circuit, clock()):
+                if circuit and health[name].is_open(circuit, clock()):
                     return
 
         for batch in batches:
@@ -176,8 +248,11 @@ def deliver(
                     yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
                     rows = []
             yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
+        while breaker and not breaker.exchange(health, clock, done=True):
+            pass
 
-    return requests.select(*REQUEST_COLUMNS).mapInArrow(send_partition, ATTEMPT_DDL)
+    attempts = requests.select(*REQUEST_COLUMNS).mapInArrow(send_partition, ATTEMPT_DDL, barrier=shared)
+    return attempts.repartition("idempotency_key") if shared else attempts
 
 
 def split_waves(rows: DataFrame, count: int, rows_per_wave: int) -> DataFrame:

@@ -37,7 +37,7 @@ from chartpost.plans.jobs import (
     score_and_deliver,
     validate_run,
 )
-from chartpost.plans.scripted import scripted_patients, scripted_transport
+from chartpost.plans.scripted import scripted_answer, scripted_patients, scripted_transport
 from chartpost.policies import Breaker, Retries
 from chartpost.schemas import DELIVERY_KEY, QUEUE
 from chartpost.session import prepare_session, shared_dir
@@ -882,6 +882,31 @@ def score_delivery_job(spark, d):
     return summary.drop("batch_id", "finished_at")
 
 
+@query
+def circuit_job(spark, d):
+    """A dead endpoint opens the circuit of all tasks, the next batch is gated
+    whole, and after the rest all of it is delivered."""
+    workspace = _queued_workspace(spark, d)
+    dead = replace(
+        _endpoint(),
+        open_transport=scripted_answer(503),
+        circuit=Breaker(rest_seconds=86_400.0),
+        max_concurrency=2,
+    )
+    rested = replace(dead, open_transport=scripted_answer(201), circuit=Breaker(rest_seconds=0.0))
+    for batch_id, target in (("b1", dead), ("b2", dead), ("b3", rested)):
+        run_delivery_batch(spark, workspace, target, batch_id, limit=None)
+    counts = read_table(spark, workspace, "attempt_log").groupBy("batch_id").agg(
+        F.count_if(~F.col("gated")).alias("n_requests")
+    )
+    rows = read_table(spark, workspace, "delivery_ledger").groupBy("batch_id").agg(
+        F.count_if(F.col("error_message") == outcomes.CIRCUIT_OPEN).alias("n_gated"),
+        F.count_if(F.col("status") == "success").alias("succeeded"),
+        F.count_if(F.col("status") == "dead_lettered").alias("dead_lettered"),
+    )
+    return rows.join(counts, "batch_id", "left").fillna(0, ["n_requests"])
+
+
 @query
 def patient_create_job(spark, d):
     """Patients the map does not hold, created through the endpoint in two batches.

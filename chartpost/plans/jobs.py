@@ -32,7 +32,13 @@ from chartpost.operators.dead_letters import (
     restore_letters,
 )
 from chartpost.operators.dedup import DELIVERED, GATED, NEW, classify, fold_batch, gate, next_rows
-from chartpost.operators.delivery import OpenTransport, deliver, split_waves, spread_requests
+from chartpost.operators.delivery import (
+    OpenTransport,
+    breaker_tasks,
+    deliver,
+    split_waves,
+    spread_requests,
+)
 from chartpost.operators.expectations import (
     cohort_rules,
     delivery_rules,
@@ -226,6 +232,7 @@ def _send(
     last = planned.agg(F.max("wave")).first()[0]
     if last is None:
         return
+    tasks, shared = breaker_tasks(spark, endpoint.max_concurrency, endpoint.circuit)
     start = planned.select("circuit_failures", "circuit_last_failure_at").first()
     failures, last_failure_at = start.circuit_failures, start.circuit_last_failure_at
     for wave in range(last + 1):
@@ -238,12 +245,13 @@ def _send(
                 }
             )
             attempts = deliver(
-                spread_requests(to_requests(due), endpoint.max_concurrency),
+                spread_requests(to_requests(due), tasks),
                 endpoint.open_transport,
                 retry=endpoint.retry,
                 circuit=endpoint.circuit,
                 token=endpoint.token_provider,
                 sleep=endpoint.sleep,
+                shared=shared,
             )
             # The only action that sends.
             replace_batch(attempts, workspace, "attempt_log", batch_id=batch_id, wave=wave)

@@ -952,6 +952,13 @@ _STATEMENTS: dict[str, tuple[str, str]] = {
               FROM (SELECT *, h % 11 <> 0 AND ((h * 31) % 10 < 6 OR (h * 31 + 17) % 10 < 6
                                                OR (h * 31 + 34) % 10 < 6) AS won FROM score_keys))""",
     ),
+    "circuit_job": (
+        "sendable",
+        # Two tasks share a limit of 5: two failures each, then one each; two rows got requests.
+        """SELECT t.* FROM (SELECT count(*) AS n FROM sendable), LATERAL (VALUES
+          ('b1', n - 2, 0::BIGINT, n, 6::BIGINT), ('b2', n, 0, n, 0), ('b3', 0, n, 0, n))
+          AS t(batch_id, n_gated, succeeded, dead_lettered, n_requests)""",
+    ),
     "patient_create_job": (
         "people registered",
         """WITH asked AS (

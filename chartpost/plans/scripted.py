@@ -30,6 +30,15 @@ def scripted_transport(first_attempt: int = 0) -> OpenTransport:
     return open_transport
 
 
+def scripted_answer(status: int) -> OpenTransport:
+    """The same status to every request, with an id."""
+
+    def open_transport() -> Send:
+        return lambda url, headers, body: (status, f'{{"id":"r-{headers["X-Request-Id"][:12]}"}}')
+
+    return open_transport
+
+
 def scripted_patients() -> OpenTransport:
     """Conditional creates: some refused for good, some patients there before, others made, late."""
 

@@ -38,10 +38,16 @@ class Retries:
 
 @dataclass(frozen=True)
 class Breaker:
-    """Failures in a row that stop sending to an endpoint, and the seconds it then rests."""
+    """Failures in a row that stop sending to an endpoint, and the seconds it then rests.
+
+    ``shared``: tasks that send at once count together, see ``operators.delivery``.  They
+    exchange their counts at least every ``round_seconds``.
+    """
 
     limit: int = BREAKER_LIMIT
     rest_seconds: float = BREAKER_REST
+    shared: bool = True
+    round_seconds: float = 10.0
 
 
 JOB_WAITS = tuple(min(wait, JOB_WAIT) for wait in WAITS)
