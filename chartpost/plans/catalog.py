@@ -890,7 +890,7 @@ def circuit_job(spark, d):
     dead = replace(
         _endpoint(),
         open_transport=scripted_answer(503),
-        circuit=Breaker(rest_seconds=86_400.0),
+        circuit=Breaker(rest_seconds=86_400.0, shared=True),
         max_concurrency=2,
     )
     rested = replace(dead, open_transport=scripted_answer(201), circuit=Breaker(rest_seconds=0.0))

@@ -40,13 +40,14 @@ class Retries:
 class Breaker:
     """Failures in a row that stop sending to an endpoint, and the seconds it then rests.
 
-    ``shared``: tasks that send at once count together, see ``operators.delivery``.  They
-    exchange their counts at least every ``round_seconds``.
+    ``shared``: tasks that send at once count together, exchanging their counts at least
+    every ``round_seconds``.  An exchange takes about a second, and a lost task repeats the
+    requests of its whole wave instead of its own, so it is asked for.
     """
 
     limit: int = BREAKER_LIMIT
     rest_seconds: float = BREAKER_REST
-    shared: bool = True
+    shared: bool = False
     round_seconds: float = 10.0
 
 

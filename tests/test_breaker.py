@@ -75,10 +75,10 @@ def test_a_dead_endpoint_gets_fewer_than_limit_and_tasks_requests(limit, n):
 
 
 def test_who_shares(spark):
-    assert breaker_tasks(spark, 5, Breaker()) == (5, True)
-    assert breaker_tasks(spark, 500, Breaker()) == (8, True)
-    assert breaker_tasks(spark, 1, Breaker()) == (1, False)
-    for policy in (None, Breaker(shared=False), Breaker(rest_seconds=0.0)):
+    assert breaker_tasks(spark, 5, Breaker(shared=True)) == (5, True)
+    assert breaker_tasks(spark, 500, Breaker(shared=True)) == (8, True)
+    assert breaker_tasks(spark, 1, Breaker(shared=True)) == (1, False)
+    for policy in (None, Breaker(), Breaker(rest_seconds=0.0, shared=True)):
         assert breaker_tasks(spark, 500, policy) == (500, False)
 
 
@@ -108,7 +108,7 @@ def target(calls, answer, break_once=None, **settings):
             raise RuntimeError("lost")
         return send
 
-    defaults = {"retry": Retries(times=1), "sleep": lambda seconds: None}
+    defaults = {"retry": Retries(times=1), "circuit": Breaker(shared=True), "sleep": lambda seconds: None}
     return Endpoint("generic_fhir", "fhir", "https://fhir.example", open_transport, **{**defaults, **settings})
 
 
