@@ -35,7 +35,8 @@ HINTS = ("passw", "passp", "pwd", "secret", "token", "key", "credential", "beare
 BLOCK_END = re.compile(r"\n[^\S\n]*\n")
 # Beyond its block a context goes on over any text this short, and until prose resumes: words in a row.
 REACH = 64
-PROSE = re.compile(r"(?:[^\W\d_]+[.,;:!?\"')]*\s+){7}[^\W\d_]+")
+PROSE = re.compile(r"(?<![^\W\d_])(?:[^\W\d_]++[.,;:!?\"')]*+\s++){7}[^\W\d_]")
+LEAST_CHARS = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 # A wrapped string goes on as a whole line; its last line may be short, but is not a word.
 NEXT_LINE = re.compile(r"\\?[\"',]?[^\S\n]*\n[^\S\n]*[\"'>#*]?[^\S\n]*([A-Za-z0-9+/_=-]+)(?=\\?[\"',;]*[^\S\n]*(?:\n|\Z))")
@@ -53,6 +54,8 @@ ALPHABETS = [
         ("[0-9A-Za-z_=-]+", 62),
     )
 ]
+# Without digits, or without letters, a string is held against the letters that words are made of.
+NOVEL_DIGITS, NOVEL_LETTERS, NOVEL_BOTH_CASES = 0.6, 0.65, 0.72
 # Identifiers that code is full of; the compressor knows them before it starts.
 IDENTIFIERS = (
     "access_key access_token api_key authorization bearer begin certificate client_id client_secret config "
@@ -72,13 +75,26 @@ class Novelty:
     def __init__(self, identifiers: str = IDENTIFIERS):
         primed = zstandard.ZstdCompressionDict(identifiers.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.press = zstandard.ZstdCompressor(level=19, dict_data=primed, write_content_size=False, write_dict_id=False)
+        self.identifiers, self.bare = identifiers, zstandard.ZstdCompressor(level=19, write_content_size=False)
+        self.last = ("", 0)
 
     def size(self, text: str) -> int:
         return len(self.press.compress(text.encode()))
 
     def share(self, before: str, string: str, after: str) -> float:
         context = before + after
-        return (self.size(context + string) - self.size(context)) / len(string)
+        if context != self.last[0]:
+            self.last = (context, self.size(context))
+        return (self.size(context + string) - self.last[1]) / len(string)
+
+    def letter_share(self, before: str, string: str, after: str) -> float:
+        """Share beside the identifiers as text, whose letters tell common from rare ones.
+
+        Further copies of the string would tell of it and are left out.
+        """
+        context = f"{self.identifiers} {(before + after).replace(string, '')} ".encode()
+        grown = len(self.bare.compress(context + string.encode()))
+        return (grown - len(self.bare.compress(context))) / len(string)
 
 
 def base_spans(text: str) -> list[Span]:
@@ -95,9 +111,11 @@ def base_spans(text: str) -> list[Span]:
 
 
 def novel_spans(text: str, novelty: Novelty, base: list[Span]) -> list[Span]:
-    """Strings of letters and digits in a sensitive context that do not compress.
+    """Strings in a sensitive context that do not compress.
 
-    Strings inside a base span are known already.
+    Strings inside a base span are known already.  A run of candidate characters is
+    measured whole, then from its first sensitive word on, then between its sensitive
+    words: each character a few times, however many words there are.
     """
     low = text.lower()
     if not base and not any(hint in low for hint in HINTS):
@@ -112,14 +130,20 @@ def novel_spans(text: str, novelty: Novelty, base: list[Span]) -> list[Span]:
     for start, end in _in_context(text, runs, words, base):
         if known.meets(start, end):
             continue
-        for at in _starts(start, end, words):
-            string = text[at:end]
-            if string in strings or (_mixed(string) and context.is_novel(novelty, at, end)):
+        plain = set()
+        for at, to in _stretches(start, end, words):
+            string = text[at:to]
+            if string in plain:
+                continue
+            if string in strings or context.is_novel(novelty, at, to):
                 strings.add(string)
-                found[at] = end
-                break
+                found[at] = to
+                if to == end:
+                    break
+            else:
+                plain.add(string)
     found = _continued(text, novelty, context, found, known)
-    found |= _copies(text, runs, strings, _Known([*base, *((start, 3, end) for start, end in found.items())]))
+    found |= _copies(text, _free(runs, found, known), strings)
     return sorted((start, 3, end) for start, end in found.items())
 
 
@@ -143,6 +167,10 @@ def _mixed(string: str) -> bool:
 
 def least_share(string: str) -> float:
     """Share from which a string is novel: that of random strings in its alphabet, NOVEL at most."""
+    if not any(map(str.isalpha, string)):
+        return NOVEL_DIGITS
+    if not any(map(str.isdigit, string)):
+        return NOVEL_LETTERS if string.islower() or string.isupper() else NOVEL_BOTH_CASES
     return min([NOVEL, *(bits for letters, bits in ALPHABETS if letters.fullmatch(string))])
 
 
@@ -152,8 +180,7 @@ class _Context:
     def __init__(self, text: str, runs: list[tuple[int, int]], base: list[Span]):
         self.text, pieces, at, size = text, [], 0, 0
         self.ends, self.offsets = [], []
-        out = [(start, end) for start, end in runs if _mixed(text[start:end])] + [(start, end) for start, _, end in base]
-        for start, end in sorted(out):
+        for start, end in sorted([*runs, *((start, end) for start, _, end in base)]):
             if start > at:
                 pieces.append(text[at:start])
                 size += start - at
@@ -163,30 +190,30 @@ class _Context:
         self.rest = "".join([*pieces, text[at:]])
 
     def is_novel(self, novelty: Novelty, start: int, end: int) -> bool:
-        """Whether the string at start is, beside the AROUND characters that are left before and after it."""
-        k = bisect(self.ends, start)
-        last, offset = (self.ends[k - 1], self.offsets[k - 1]) if k else (0, 0)
-        # A string that is taken out lies between two pieces; one that is not has a place in its piece.
-        if k < len(self.ends) and offset + start - last >= self.offsets[k]:
-            before = after = self.offsets[k]
-        else:
-            before = offset + start - last
-            after = before + end - start
-        share = novelty.share(self.rest[max(0, before - AROUND) : before], self.text[start:end], self.rest[after : after + AROUND])
-        return share >= least_share(self.text[start:end])
+        """Whether the string there is, beside the AROUND characters left before and after its run."""
+        at = self.offsets[bisect(self.ends, start)]
+        string = self.text[start:end]
+        share = novelty.share if _mixed(string) else novelty.letter_share
+        return share(self.rest[max(0, at - AROUND) : at], string, self.rest[at : at + AROUND]) >= least_share(string)
 
 
-def _starts(start: int, end: int, words: list[tuple[int, int]]) -> list[int]:
-    """Where a string may begin in a run: at its start, or after a sensitive word within."""
-    at = bisect(words, (start, start))
+def _stretches(start: int, end: int, words: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Where a string may be in a run: all of it, all after its first sensitive word, between its words."""
+    yield start, end
+    i = bisect(words, (start, start))
     # A word may begin before the run and end in it.
-    at -= at > 0 and words[at - 1][1] > start
-    out = [start]
-    while at < len(words) and words[at][0] < end:
-        if start < words[at][1] <= end - 16:
-            out.append(words[at][1])
-        at += 1
-    return out
+    i -= i > 0 and words[i - 1][1] > start
+    at, is_first = start, True
+    while i < len(words) and words[i][0] < end:
+        a, b = words[i]
+        if a - at >= LEAST_CHARS:
+            yield at, a
+        at = b
+        if is_first and end - at >= LEAST_CHARS:
+            yield at, end
+        i, is_first = i + 1, False
+    if not is_first and end - at >= LEAST_CHARS:
+        yield at, end
 
 
 def _in_context(text: str, runs: list[tuple[int, int]], words: list[tuple[int, int]], base: list[Span]) -> list[tuple[int, int]]:
@@ -242,16 +269,30 @@ def _continued(text: str, novelty: Novelty, context: _Context, found: dict[int,
     return out
 
 
-def _copies(text: str, runs: list[tuple[int, int]], strings: set[str], known: _Known) -> dict[int, int]:
-    """Further places of ``strings``, alone or within longer runs."""
-    found = {}
-    sizes = sorted({len(string) for string in strings}, reverse=True)
+def _free(runs: list[tuple[int, int]], found: dict[int, int], known: _Known) -> Iterator[tuple[int, int]]:
+    """Parts of runs outside base spans' runs and found strings."""
+    starts = sorted(found)
     for start, end in runs:
-        if not sizes or known.meets(start, end):
+        if known.meets(start, end):
             continue
         at = start
-        while at <= end - sizes[-1]:
-            size = next((n for n in sizes if at + n <= end and text[at : at + n] in strings), 0)
+        for a in starts[bisect(starts, start - 1) : bisect(starts, end - 1)]:
+            if a > at:
+                yield at, a
+            at = found[a]
+        if at < end:
+            yield at, end
+
+
+def _copies(text: str, parts: Iterator[tuple[int, int]], strings: set[str]) -> dict[int, int]:
+    """Further places of ``strings`` in ``parts``, alone or within longer ones."""
+    found, sizes = {}, {}
+    for head, size in sorted({(string[:LEAST_CHARS], len(string)) for string in strings}, reverse=True):
+        sizes.setdefault(head, []).append(size)
+    for at, end in parts if sizes else ():
+        while at <= end - LEAST_CHARS:
+            lengths = sizes.get(text[at : at + LEAST_CHARS], ())
+            size = next((n for n in lengths if at + n <= end and text[at : at + n] in strings), 0)
             if size:
                 found[at] = at + size
             at += size or 1
@@ -311,7 +352,12 @@ def redacted(text: str | None, novelty: Novelty, mark: str) -> str | None:
 
 
 def redact_secrets(documents: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """All documents and columns, secrets in text replaced by ``mark`` and n_chars renewed."""
+    """All documents and columns, secrets in text replaced by ``mark`` and n_chars renewed.
+
+    Null and empty texts stay as they are (a null text keeps its n_chars), repeated rows
+    are cleaned each, texts of any length are scanned whole, further columns pass through;
+    an empty table gives no rows.
+    """
     session(documents.sparkSession)
 
     @F.pandas_udf("string")

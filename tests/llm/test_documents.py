@@ -211,6 +211,93 @@ def test_secrets_tell_nothing_of_each_other():
         assert novel_strings("the tokens are\n" + "\n".join(many)) == many
 
 
+def plain_verdict(text, string):
+    """Whether ``string`` is novel in ``text``, by compressing it twice beside what is left of the text."""
+    import zstandard
+
+    at = text.index(string)
+    before, after = (re.sub("[A-Za-z0-9+/_=-]{16,}", "", part)[cut] for part, cut in (
+        (text[:at], slice(-256, None)), (text[at + len(string) :], slice(0, 256))))
+    is_mixed = re.search("[0-9]", string) and re.search("[A-Za-z]", string)
+    if is_mixed:
+        primer = zstandard.ZstdCompressionDict(secret_novelty.IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        press = zstandard.ZstdCompressor(level=19, dict_data=primer, write_content_size=False, write_dict_id=False)
+        context = before + after
+    else:
+        press = zstandard.ZstdCompressor(level=19, write_content_size=False)
+        context = f"{secret_novelty.IDENTIFIERS} {(before + after).replace(string, '')} "
+    grown = len(press.compress((context + string).encode())) - len(press.compress(context.encode()))
+    if not is_mixed:
+        one_case = string.islower() or string.isupper()
+        least = 0.6 if string.isdigit() else 0.65 if one_case else 0.72
+    else:
+        least = min([0.75, *(np.log2(n) / 8 for n, letters in ((16, "[0-9a-f]+"), (16, "[0-9A-F]+"), (36, "[0-9a-z]+"),
+                    (36, "[0-9A-Z]+"), (62, "[0-9A-Za-z]+")) if re.fullmatch(letters, string))])
+    return grown / len(string) >= least
+
+
+def test_verdicts_equal_a_plain_version():
+    rng = random.Random(77)
+    words = "the river station which manager interested government between morning however table window about".split()
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    alphabets = ["0123456789", "01", lower, lower + upper, upper, UUID, lower + upper + "0123456789", "etaoinsh", "ab1"]
+    seen = set()
+    for _ in range(250):
+        strings = list(dict.fromkeys(
+            "".join(rng.choices(rng.choice(alphabets), k=rng.randint(16, 40))) if (kind := rng.random()) < 0.6
+            else "".join(rng.choices(words, k=4)) if kind < 0.8
+            else "".join(rng.choices(rng.choice(alphabets), k=2)) * rng.randint(8, 11)
+            for _ in range(rng.randint(1, 4))))
+        strings = [s for s in strings if not secret_novelty.SENSITIVE.search(s) and len(s) >= 16 and not re.search("[0-9a-f]{24}", s)]
+        text = " ".join(["secret words", *(f"{' '.join(rng.choices(words, k=rng.randint(1, 60)))} {s}" for s in strings), "end"])
+        expected = [s for s in strings if plain_verdict(text, s)]
+        assert novel_strings(text) == expected
+        seen |= {(s in expected, bool(re.search("[0-9]", s)), bool(re.search("[a-zA-Z]", s))) for s in strings}
+    assert seen == {(v, d, a) for v in (True, False) for d, a in ((True, True), (True, False), (False, True))}
+
+
+def test_strings_of_letters_or_digits_only():
+    assert novel_strings("the password is qWmZkTrLpXbNvYgH") == ["qWmZkTrLpXbNvYgH"]
+    assert novel_strings("my api key: xkqzvbnmlrtpwsdfghjk") == ["xkqzvbnmlrtpwsdfghjk"]
+    assert novel_strings("secret pin 8402948375629104857") == ["8402948375629104857"]
+    assert novel_strings("the pin xkqzvbnmlrtpwsdfghjk or 8402948375629104857") == []
+    twice = "the password is xkqzvbnmlrtpwsdfghjk, I say xkqzvbnmlrtpwsdfghjk"
+    assert novel_strings(twice) == ["xkqzvbnmlrtpwsdfghjk"] * 2
+    for word in ("internationalization", "thandredonertionblethat", "getUserAccessTokenFromRequest", "some_snake_case_function",
+                 "calculateMonthlyInterestRate", "----------------", "0000000000000000", "====================="):
+        assert novel_strings(f"the secret token and the password are of {word} as we said") == []
+    # Digits are a base kind from 24 characters on.
+    for chars, size in (("0123456789", 20), ("abcdefghijklmnopqrstuvwxyz", 40), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", 40)):
+        many = [random_string(k, size, chars) for k in range(100)]
+        found = novel_strings("the tokens are\n" + "\n".join(many))
+        # By chance a lower-case string may have the letters of words.
+        assert len(found) >= (95 if chars.islower() else 100) and set(found) <= set(many)
+
+
+def test_words_within_a_run():
+    keys = [random_string(500 + k, 40) for k in range(4)]
+    assert novel_strings(f"a private_key{keys[0]} b")[0].endswith(keys[0])
+    run = "token1" * 2000 + "_secret_" + keys[1]
+    assert novel_strings(f"it is {run} as sent") == ["_" + keys[1]]
+    copies = "token1" * 2000 + keys[2]
+    assert novel_strings(f"{copies} and the secret {keys[2]} again")[-1] == keys[2]
+    assert redacted(f"it is {run} as sent", Novelty(), "#") == f"it is {run[: -41]}# as sent"
+
+
+@pytest.mark.parametrize("text", [
+    "token1" * 170_000, "".join(f"token{k:06}" for k in range(90_000)), "token" + "a" * 1_000_000,
+    "secret " + "\u6f22" * 1_000_000 + " " + "x1" * 20, "secret " + "ab cd, " * 150_000 + "x1" * 20,
+    "secret " + " ".join(f"token{k:06}" * 2 for k in range(45_000)),
+])
+def test_very_long_runs_take_seconds(text):
+    import time
+
+    started = time.process_time()
+    scan(text, Novelty())
+    # A run cut at each of its words used to take minutes here.
+    assert time.process_time() - started < 20
+
+
 def test_redaction(spark):
     novelty = Novelty()
     assert redacted('a token = "3f76bb46f51625a07193ae74d1cc485f188b9b5d" b', novelty, "[secret]") == 'a [secret]" b'
