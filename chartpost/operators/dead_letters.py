@@ -112,6 +112,66 @@ def pending_letters(events: DataFrame, limit: int | None = 100) -> DataFrame:
     return first_rows(pending, ["dead_lettered_at", *DELIVERY_KEY], limit)
 
 
+def rows_per_part(events: DataFrame) -> DataFrame:
+    """Rows per partition of the letters.  No column is read, so the files' footers answer."""
+    return events.groupBy(F.col("batch_id").alias("letter_batch"), "event").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+def changed_batches(now: DataFrame, before: DataFrame) -> list[str]:
+    """Batches whose letters or marks are not as many as they were: those since the last look."""
+    known = before.select("letter_batch", "event", F.col("n_rows").alias("_rows"))
+    joined = now.join(known, ["letter_batch", "event"], "left")
+    fresh = joined.where(F.col("_rows").isNull() | (F.col("n_rows") != F.col("_rows")))
+    return [row.letter_batch for row in fresh.select("letter_batch").distinct().collect()]
+
+
+def pending_keys(earlier: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Pending keys after ``fresh`` events, given those pending before.
+
+    One row per key: time and place of its latest letter, and whether that can be
+    restored.  Only fresh letters are parsed, and none is carried along.  Reading an
+    event again changes nothing.  A mark goes with its key, so a letter that comes to
+    light later than a younger mark is pending again; the ledger then says delivered.
+    """
+    restored = restore_observation(F.col("observation_json"))
+    place = ["dead_lettered_at", "seq", "letter_batch", "readable", "effective_datetime"]
+    arrived = fresh.withColumn("_obs", restored).select(
+        *DELIVERY_KEY,
+        F.when(
+            F.col("event") == DEAD_LETTERED,
+            F.struct(
+                F.col("event_at").alias("dead_lettered_at"),
+                "seq",
+                F.col("batch_id").alias("letter_batch"),
+                F.col("_obs").isNotNull().alias("readable"),
+                F.col("_obs.effective_datetime").alias("effective_datetime"),
+            ),
+        ).alias("_letter"),
+        F.when(F.col("event") == REPROCESSED, F.col("event_at")).alias("_marked_at"),
+    )
+    known = earlier.select(
+        *DELIVERY_KEY, F.struct(*place).alias("_letter"), F.lit(None).cast("timestamp").alias("_marked_at")
+    )
+    folded = (
+        arrived.unionByName(known)
+        .groupBy(*DELIVERY_KEY)
+        .agg(F.max("_letter").alias("_letter"), F.max("_marked_at").alias("_marked_at"))
+    )
+    sent_at = F.col("_letter.dead_lettered_at")
+    pending = sent_at.isNotNull() & (F.col("_marked_at").isNull() | (sent_at > F.col("_marked_at")))
+    return folded.where(pending).select(*DELIVERY_KEY, *[F.col(f"_letter.{c}") for c in place])
+
+
+def letters_of(events: DataFrame, keys: DataFrame) -> DataFrame:
+    """The latest letters of ``keys`` (see ``pending_keys``), read from their batches only."""
+    batches = [row.letter_batch for row in keys.select("letter_batch").distinct().collect()]
+    held = events.where((F.col("event") == DEAD_LETTERED) & F.col("batch_id").isin(batches))
+    places = keys.select(*DELIVERY_KEY, F.col("letter_batch").alias("batch_id"))
+    return pending_letters(held.join(places, [*DELIVERY_KEY, "batch_id"], "left_semi"), limit=None)
+
+
 def restore_letters(pending: DataFrame) -> DataFrame:
     """Letters with their observation columns; ``restored`` is false where the JSON is broken."""
     parsed = pending.withColumn("_obs", restore_observation(F.col("observation_json")))

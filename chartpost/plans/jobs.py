@@ -26,10 +26,13 @@ from chartpost.operators.circuit import (
 )
 from chartpost.operators.cohort import score_cohort, score_observations
 from chartpost.operators.dead_letters import (
+    changed_batches,
     dead_letter_rows,
-    pending_letters,
+    letters_of,
+    pending_keys,
     reprocessed_rows,
     restore_letters,
+    rows_per_part,
 )
 from chartpost.operators.dedup import DELIVERED, GATED, NEW, classify, fold_batch, gate, next_rows
 from chartpost.operators.delivery import (
@@ -451,16 +454,16 @@ def run_delivery_batch(
         _write_plan(spark, workspace, chosen, endpoint, plan_path)
     outcomes, planned = _run_plan(spark, workspace, endpoint, batch_id, plan_path)
     summary = _finish(spark, workspace, batch_id, outcomes, planned)
-    for old in _backlog_states(spark, workspace, endpoint)[2:]:
+    for old in _states(spark, workspace, endpoint, "ready_dates")[2:]:
         for table in ("ready_dates", "backlog"):
             drop_batch(spark, workspace, table, batch_id=old)
     return summary
 
 
-def _backlog_states(spark: SparkSession, workspace: Workspace, endpoint: Endpoint) -> list[str]:
-    """Batches whose backlog of this endpoint is complete, newest first (a few: old ones go)."""
+def _states(spark: SparkSession, workspace: Workspace, endpoint: Endpoint, table: str) -> list[str]:
+    """Batches whose state of this endpoint is complete, newest first (a few: old ones go)."""
     taken = (
-        read_table(spark, workspace, "ready_dates")
+        read_table(spark, workspace, table)
         .where((F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api))
         .groupBy("batch_id")
         .agg(F.max("taken_at").alias("taken_at"))
@@ -469,7 +472,7 @@ def _backlog_states(spark: SparkSession, workspace: Workspace, endpoint: Endpoin
     return [
         row.batch_id
         for row in taken.collect()
-        if is_complete(spark, batch_path(workspace, "ready_dates", batch_id=row.batch_id))
+        if is_complete(spark, batch_path(workspace, table, batch_id=row.batch_id))
     ]
 
 
@@ -489,7 +492,7 @@ def _refresh_backlog(
     """
     if is_complete(spark, batch_path(workspace, "ready_dates", batch_id=batch_id)):
         return
-    states = [s for s in _backlog_states(spark, workspace, endpoint) if s != batch_id]
+    states = [s for s in _states(spark, workspace, endpoint, "ready_dates") if s != batch_id]
     last = states[0] if states else None
     dates = read_table(spark, workspace, "ready_dates").where(F.col("batch_id") == last)
     earlier = read_table(spark, workspace, "backlog").where(F.col("batch_id") == last)
@@ -558,6 +561,40 @@ def _choose(
     return rows.unionByName(skipped, allowMissingColumns=True)
 
 
+def _refresh_pending(
+    spark: SparkSession, workspace: Workspace, endpoint: Endpoint, batch_id: str
+) -> None:
+    """Store the keys pending as of this batch, from the last state and the batches since.
+
+    The counts of partitions are written last, so their marker says that both tables are
+    whole.
+    """
+    if is_complete(spark, batch_path(workspace, "letter_parts", batch_id=batch_id)):
+        return
+    states = [s for s in _states(spark, workspace, endpoint, "letter_parts") if s != batch_id]
+    last = states[0] if states else None
+    before = read_table(spark, workspace, "letter_parts").where(F.col("batch_id") == last)
+    earlier = read_table(spark, workspace, "pending_keys").where(F.col("batch_id") == last)
+    events = read_table(spark, workspace, "dead_letters")
+    # Stored first: rows that come in between count as changed next time.
+    counted_path = workspace.path(f"plans/{batch_id}/letter_parts")
+    if not is_complete(spark, counted_path):
+        rows_per_part(events).write.mode("overwrite").parquet(counted_path)
+    counted = spark.read.parquet(counted_path)
+    mine = events.where((F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api))
+    if last is not None:
+        mine = mine.where(F.col("batch_id").isin(changed_batches(counted, before)))
+    write_once(spark, pending_keys(earlier, mine), workspace, "pending_keys", batch_id=batch_id)
+    state = counted.withColumns(
+        {
+            "ehr_system": F.lit(endpoint.ehr_system),
+            "api": F.lit(endpoint.api),
+            "taken_at": F.current_timestamp(),
+        }
+    )
+    write_once(spark, state, workspace, "letter_parts", batch_id=batch_id)
+
+
 def reprocess_dead_letters(
     spark: SparkSession,
     workspace: Workspace,
@@ -567,8 +604,10 @@ def reprocess_dead_letters(
 ) -> DataFrame:
     """Send pending letters again; delivered ones (now or meanwhile) are marked.
 
-    A letter whose JSON cannot be restored goes to the quarantine table; it stays pending
-    and takes no place in the limit.
+    A run reads the letters and marks of batches since the endpoint's last run and the keys
+    that were pending then; whole letters are fetched for the chosen keys only.  A letter
+    whose JSON cannot be restored goes to the quarantine table; it stays pending and takes
+    no place in the limit.
     """
     _check(spark, batch_id, endpoint)
     done = _stored_summary(spark, workspace, batch_id)
@@ -577,22 +616,24 @@ def reprocess_dead_letters(
     letters = read_table(spark, workspace, "dead_letters")
     plan_path = workspace.path(f"plans/{batch_id}/classified")
     if not is_complete(spark, plan_path):
-        mine = letters.where(
-            (F.col("ehr_system") == endpoint.ehr_system) & (F.col("api") == endpoint.api)
-        )
-        restored = restore_letters(pending_letters(mine, limit=None))
-        broken = restored.where("not restored").withColumn("failed_rules", F.lit("readable_letter"))
+        _refresh_pending(spark, workspace, endpoint, batch_id)
+        pending = read_table(spark, workspace, "pending_keys").where(F.col("batch_id") == batch_id)
+        unread = restore_letters(letters_of(letters, pending.where("not readable")))
+        broken = unread.withColumn("failed_rules", F.lit("readable_letter"))
         _quarantine(spark, workspace, quarantine_rows(broken), batch_id)
-        pending = restored.where("restored")
-        batch = (
-            next_rows(pending.withColumn("queued_at", F.col("dead_lettered_at")), limit)
-            .withColumns(
-                {
-                    "occurrences": F.lit(1).cast("bigint"),
-                    "endpoint": F.lit(endpoint.base_url),
-                    "effective_date": F.to_date("effective_datetime"),
-                }
-            )
+        readable = pending.where("readable").withColumn("queued_at", F.col("dead_lettered_at"))
+        chosen_path = workspace.path(f"plans/{batch_id}/chosen")
+        if not is_complete(spark, chosen_path):
+            chosen = next_rows(readable, limit).select(*DELIVERY_KEY, "letter_batch")
+            chosen.write.mode("overwrite").parquet(chosen_path)
+        restored = restore_letters(letters_of(letters, spark.read.parquet(chosen_path)))
+        batch = restored.withColumns(
+            {
+                "queued_at": F.col("dead_lettered_at"),
+                "occurrences": F.lit(1).cast("bigint"),
+                "endpoint": F.lit(endpoint.base_url),
+                "effective_date": F.to_date("effective_datetime"),
+            }
         )
         ledger = prune_dates(read_table(spark, workspace, "delivery_ledger"), batch)
         classified = classify(batch, delivered_keys(ledger, batch))
@@ -606,7 +647,11 @@ def reprocess_dead_letters(
     )
     marks = reprocessed_rows(marked, F.current_timestamp(), batch_id)
     write_once(spark, marks, workspace, "dead_letters", batch_id=batch_id, event=REPROCESSED)
-    return _finish(spark, workspace, batch_id, outcomes, planned)
+    summary = _finish(spark, workspace, batch_id, outcomes, planned)
+    for old in _states(spark, workspace, endpoint, "letter_parts")[2:]:
+        for table in ("letter_parts", "pending_keys"):
+            drop_batch(spark, workspace, table, batch_id=old)
+    return summary
 
 
 def reprocess_endpoint(endpoint: Endpoint) -> Endpoint:

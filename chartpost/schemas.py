@@ -108,6 +108,19 @@ BACKLOG = _schema(
     batch_id STRING"""
 )
 
+# What an endpoint's reprocessing has read of the letters: rows per partition, and the keys
+# still pending then, each with the place of its latest letter.
+LETTER_PARTS = _schema(
+    """ehr_system STRING, api STRING, letter_batch STRING, event STRING, n_rows BIGINT,
+    taken_at TIMESTAMP, batch_id STRING"""
+)
+
+PENDING_KEYS = _schema(
+    """idempotency_key STRING, ehr_system STRING, api STRING, dead_lettered_at TIMESTAMP,
+    seq BIGINT, letter_batch STRING, readable BOOLEAN, effective_datetime TIMESTAMP,
+    batch_id STRING"""
+)
+
 # Inputs that cannot be delivered, whatever their columns: row_json holds all of them.
 QUARANTINE = _schema(
     """patient_id STRING, observation_code STRING, effective_datetime TIMESTAMP,
@@ -127,4 +140,6 @@ TABLES = {
     "patient_links": (PATIENT_LINKS, ("batch_id",)),
     "ready_dates": (READY_DATES, ("batch_id",)),
     "backlog": (BACKLOG, ("batch_id",)),
+    "letter_parts": (LETTER_PARTS, ("batch_id",)),
+    "pending_keys": (PENDING_KEYS, ("batch_id",)),
 }
