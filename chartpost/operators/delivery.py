@@ -6,7 +6,6 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
-from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark import BarrierTaskContext, TaskContext
@@ -148,6 +147,47 @@ def _accepted(status: int, body: str | None, returns_id: bool) -> bool:
 # Attempts, with the bodies of their answers, that a task holds before it hands them on.
 LOGGED_ROWS = 500
 
+# What an attempt takes over from its request as it is.
+_PASSED = ("idempotency_key", "ehr_system", "api", "endpoint", "effective_date")
+_LOGGED = [name for name in _ARROW_SCHEMA.names if name not in _PASSED]
+
+
+def _plain(column: pa.Array) -> list:
+    """The column's values; ``to_pylist`` would make an Arrow scalar of each first."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+class AttemptRows:
+    """Attempts at the requests of one batch, each with its request's place in the batch.
+
+    Requests and attempts stay columns, so an attempt costs a task little beside sending.
+    """
+
+    def __init__(self, seq: int):
+        self.seq = seq
+        self.rows: list[tuple] = []
+
+    def add(self, place: int, attempt: int, now: float, status=None, body=None, error=None, ok=False, gated=False):
+        self.seq += 1
+        self.rows.append((place, attempt, self.seq, round(now * 1_000_000), status, body, error, ok, gated))
+
+    def flush(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        places, *logged = zip(*self.rows)
+        self.rows = []
+        taken = pa.array(places, pa.int64())
+        columns = {name: batch.column(name).take(taken) for name in _PASSED}
+        columns |= dict(zip(_LOGGED, logged))
+
+        def shaped(field: pa.Field) -> pa.Array:
+            column = columns[field.name]
+            if isinstance(column, pa.Array):
+                return column.cast(field.type)
+            if pa.types.is_timestamp(field.type):
+                return pa.array(column, pa.int64()).cast(field.type)
+            return pa.array(column, field.type)
+
+        return pa.RecordBatch.from_arrays([shaped(f) for f in _ARROW_SCHEMA], schema=_ARROW_SCHEMA)
+
 
 def deliver(
     requests: DataFrame,
@@ -181,57 +221,32 @@ def deliver(
         if shared:
             barrier = BarrierTaskContext.get()
             breaker = SharedBreaker(barrier.allGather, len(barrier.getTaskInfos()), circuit, clock())
-        seq = (context.partitionId() if context else 0) << 33
-
-        def log_row(request: dict, attempt: int, now: float, **result) -> dict:
-            nonlocal seq
-            seq += 1
-            row = {name: request.get(name) for name in _ARROW_SCHEMA.names}
-            row.update(
-                attempt=attempt,
-                seq=seq,
-                attempted_at=datetime.fromtimestamp(now, timezone.utc),
-                gated=False,
-                **result,
-            )
-            return row
-
-        def send_one(request: dict) -> Iterator[dict]:
-            name = request["endpoint"]
+        log = AttemptRows((context.partitionId() if context else 0) << 33)
+
+        def state_of(name: str, batch: pa.RecordBatch, place: int) -> EndpointHealth:
             if name not in health:
-                known = request["circuit_last_failure_at"]
-                health[name] = EndpointHealth(
-                    request["circuit_failures"] or 0, known.timestamp() if known else 0.0
-                )
-            if circuit and health[name].is_open(circuit, clock()):
-                gated = log_row(request, 0, clock(), transport_error=CIRCUIT_OPEN, ok=False)
-                yield {**gated, "gated": True}
-                return
-            headers = dict(request["headers"])
-            headers["X-Request-Id"] = request["request_id"]
+                known = batch.column("circuit_last_failure_at")[place].as_py()
+                failures = batch.column("circuit_failures")[place].as_py()
+                health[name] = EndpointHealth(failures or 0, known.timestamp() if known else 0.0)
+            return health[name]
+
+        def send_one(place: int, name: str, url: str, headers: dict, body: str, returns_id: bool) -> None:
             for attempt in range(retry.times + 1):
                 bearer = token() if callable(token) else token
                 if bearer:
                     headers["Authorization"] = f"Bearer {bearer}"
-                status, body, error = None, None, None
+                status, answer, error = None, None, None
                 try:
-                    status, body = send(request["url"], headers, request["request_body"])
+                    status, answer = send(url, headers, body)
                 except Exception as exc:  # any failure to answer is this row's failure only
                     error = str(exc) or type(exc).__name__
-                ok = status is not None and _accepted(status, body, request["returns_id"])
+                ok = status is not None and _accepted(status, answer, returns_id)
                 now = clock()
+                # Looked up each time, as an exchange replaces it.
                 health[name].record(ok, now)
                 if breaker and breaker.is_due(health[name], now):
                     breaker.exchange(health, clock)
-                yield log_row(
-                    request,
-                    attempt,
-                    now,
-                    http_status=status,
-                    body=body,
-                    transport_error=error,
-                    ok=ok,
-                )
+                log.add(place, attempt, now, status, answer, error, ok)
                 if ok or attempt == retry.times:
                     return
                 if not retry.again(status):
@@ -241,13 +256,23 @@ def deliver(
                     return
 
         for batch in batches:
-            rows = []
-            for request in batch.to_pylist():
-                rows.extend(send_one(request))
-                if len(rows) >= LOGGED_ROWS:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
-                    rows = []
-            yield pa.RecordBatch.from_pylist(rows, schema=_ARROW_SCHEMA)
+            sent = ("endpoint", "url", "request_id", "request_body", "returns_id")
+            rows = zip(*[_plain(batch.column(c)) for c in sent])
+            maps = batch.column("headers")
+            starts, names, values = (_plain(c) for c in (maps.offsets, maps.keys, maps.items))
+            for place, (name, url, request_id, body, returns_id) in enumerate(rows):
+                state = state_of(name, batch, place)
+                if circuit and state.is_open(circuit, clock()):
+                    log.add(place, 0, clock(), error=CIRCUIT_OPEN, gated=True)
+                else:
+                    part = slice(starts[place], starts[place + 1])
+                    headers = dict(zip(names[part], values[part]))
+                    headers["X-Request-Id"] = request_id
+                    send_one(place, name, url, headers, body, returns_id)
+                if len(log.rows) >= LOGGED_ROWS:
+                    yield log.flush(batch)
+            if log.rows:
+                yield log.flush(batch)
         while breaker and not breaker.exchange(health, clock, done=True):
             pass
 
@@ -255,17 +280,38 @@ def deliver(
     return attempts.repartition("idempotency_key") if shared else attempts
 
 
+# Rows of a wave per file, so that many tasks build the requests that few may send.
+ROWS_PER_FILE = 25_000
+
+
 def split_waves(rows: DataFrame, count: int, rows_per_wave: int) -> DataFrame:
     """Number the rows in ``wave``, oldest first, in ranges of about equal size.
 
     A wave is sent and logged as a whole.  Few requests may be in flight at once, so
     without waves a large batch would be a few endless tasks, and losing one of them
-    would repeat everything it had sent.
+    would repeat everything it had sent.  A large wave is several consecutive ranges, each
+    written and read by a task of its own.
     """
     waves = max(1, -(-count // rows_per_wave))
+    ranges = max(1, -(-count // (waves * ROWS_PER_FILE)))
     return rows.repartitionByRange(
-        waves, "queued_at", "effective_datetime", "idempotency_key"
-    ).withColumn("wave", F.spark_partition_id())
+        waves * ranges, "queued_at", "effective_datetime", "idempotency_key"
+    ).withColumn("wave", F.floor(F.spark_partition_id() / ranges).cast("int"))
+
+
+def hold_back(requests: DataFrame) -> DataFrame:
+    """Attempts of rows that an open circuit keeps from being sent, logged as a sender would."""
+    return requests.select(
+        *_PASSED,
+        F.lit(0).alias("attempt"),
+        (F.monotonically_increasing_id() + 1).alias("seq"),
+        F.current_timestamp().alias("attempted_at"),
+        F.lit(None).cast("int").alias("http_status"),
+        F.lit(None).cast("string").alias("body"),
+        F.lit(CIRCUIT_OPEN).alias("transport_error"),
+        F.lit(False).alias("ok"),
+        F.lit(True).alias("gated"),
+    )
 
 
 def spread_requests(requests: DataFrame, max_concurrency: int) -> DataFrame:

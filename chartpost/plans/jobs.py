@@ -6,6 +6,7 @@ import re
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +37,11 @@ from chartpost.operators.dead_letters import (
 )
 from chartpost.operators.dedup import DELIVERED, GATED, NEW, classify, fold_batch, gate, next_rows
 from chartpost.operators.delivery import (
+    EndpointHealth,
     OpenTransport,
     breaker_tasks,
     deliver,
+    hold_back,
     split_waves,
     spread_requests,
 )
@@ -212,6 +215,13 @@ def _write_plan(
     ).write.mode("overwrite").parquet(path)
 
 
+def _is_open(policy: Breaker | None, failures: int, last_failure_at: datetime | None) -> bool:
+    """Whether the counts mean an open circuit now."""
+    if policy is None or last_failure_at is None:
+        return False
+    return EndpointHealth(failures, last_failure_at.timestamp()).is_open(policy, time.time())
+
+
 def _send(
     spark: SparkSession,
     workspace: Workspace,
@@ -223,7 +233,8 @@ def _send(
     """Send wave by wave; a wave that is in the log is not sent again.
 
     The circuit is known again before each wave: the counts the plan started with,
-    moved on by the attempts of every finished wave.
+    moved on by the attempts of every finished wave.  A wave that would start while it is
+    open is held back as a whole.
     """
     waves_path = workspace.path(f"plans/{batch_id}/waves")
     if not is_complete(spark, waves_path):
@@ -247,15 +258,18 @@ def _send(
                     "circuit_last_failure_at": F.lit(last_failure_at).cast("timestamp"),
                 }
             )
-            attempts = deliver(
-                spread_requests(to_requests(due), tasks),
-                endpoint.open_transport,
-                retry=endpoint.retry,
-                circuit=endpoint.circuit,
-                token=endpoint.token_provider,
-                sleep=endpoint.sleep,
-                shared=shared,
-            )
+            if _is_open(endpoint.circuit, failures, last_failure_at):
+                attempts = hold_back(due)
+            else:
+                attempts = deliver(
+                    spread_requests(to_requests(due), tasks),
+                    endpoint.open_transport,
+                    retry=endpoint.retry,
+                    circuit=endpoint.circuit,
+                    token=endpoint.token_provider,
+                    sleep=endpoint.sleep,
+                    shared=shared,
+                )
             # The only action that sends.
             replace_batch(attempts, workspace, "attempt_log", batch_id=batch_id, wave=wave)
         if endpoint.circuit is not None and wave < last:
@@ -549,7 +563,10 @@ def _choose(
     keys = chosen.select(*DELIVERY_KEY)
     days = per_date.join(keys, list(DELIVERY_KEY), "left_semi").select("queued_date").distinct()
     dated = ready.where(on_dates([row.queued_date for row in days.collect()]))
-    matching = _keyed_dates(dated, endpoint).drop("queued_date").join(keys, list(DELIVERY_KEY), "left_semi")
+    matching = _keyed_dates(dated, endpoint).drop("queued_date")
+    if limit is not None:
+        # A few keys keep most rows out of the fold; all keys are matched after it, once each.
+        matching = matching.join(keys, list(DELIVERY_KEY), "left_semi")
     rows = fold_batch(matching).drop("occurrences").join(chosen, list(DELIVERY_KEY))
     seen = read_table(spark, workspace, "ready_dates").where(F.col("batch_id") == batch_id)
     counts = seen.agg(F.coalesce(F.sum("n_valid"), F.lit(0)).alias("_valid")).withColumn("_one", F.lit(1))
